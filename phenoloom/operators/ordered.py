@@ -100,9 +100,10 @@ def hashed_rank(
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), accuracy: int = 10_000
+    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), accuracy: int = 10_000,
+    interpolate: bool = True,
 ) -> DataFrame:
-    """Exact quantiles (linear between order statistics) of ``value`` per group; nulls ignored.
+    """Exact quantiles of ``value`` per group, linear between order statistics or the lower one; nulls ignored.
 
     First pass: a bounded sketch per group brackets each quantile; its rank error is at most ``n/accuracy``, the
     bracket is twice that on either side. Second pass: count what lies below each bracket and order only the distinct
@@ -169,6 +170,8 @@ def exact_quantiles(
     picked = hit.groupBy(*by, "_i").agg(
         at(F.floor("_pos")).alias("_lo"), at(F.ceil("_pos")).alias("_hi"), F.first("_pos").alias("_pos")
     )
-    quantile = F.col("_lo") + (F.col("_pos") - F.floor("_pos")) * (F.col("_hi") - F.col("_lo"))
+    quantile = F.col("_lo")
+    if interpolate:
+        quantile = quantile + (F.col("_pos") - F.floor("_pos")) * (F.col("_hi") - F.col("_lo"))
     out = picked.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, quantile)).alias(n) for i, (n, _) in enumerate(asked)])
     return out.drop("_all")

@@ -116,10 +116,13 @@ def exact_quantiles(
     margin = 2.0 / accuracy
     asked = list(probs.items())
     points = [max(0.0, p - margin) for _, p in asked] + [min(1.0, p + margin) for _, p in asked]
-    sketch = materialise(
-        rows.groupBy(*by).agg(F.count("*").alias("_n"), F.percentile_approx("_v", points, accuracy).alias("_q"))
-    )
     k = len(asked)
+    sketch = rows.groupBy(*by).agg(
+        F.count("*").alias("_n"), F.percentile_approx("_v", points, accuracy).alias("_q"), F.min("_v").alias("_a"), F.max("_v").alias("_z")
+    )
+    # in a small group the margin is less than a row: take the whole of it
+    whole = F.array(*[F.col("_a")] * k, *[F.col("_z")] * k)
+    sketch = materialise(sketch.select(*by, "_n", F.when(F.col("_n") < 4 * accuracy, whole).otherwise(F.col("_q")).alias("_q")))
     near = small_side(sketch)
     tagged = rows.join(near, by)
     below = tagged.groupBy(*by).agg(

@@ -19,9 +19,11 @@ from phenoloom.session import materialise
 def sql_t_p(t: str, df: str) -> str:
     """Two-sided p of Student's t: the density, with t = sqrt(df) tan(u), integrated by Simpson's rule on 4,001 points."""
     lo = f"atan(abs({t}) / sqrt({df}))"
-    u = f"({lo} + (pi() / 2 - {lo}) * g.i / 4000.0)"
+    # for large df the density is spent long before pi/2
+    width = f"(least(pi() / 2, {lo} + 40 / sqrt({df})) - {lo})"
+    u = f"({lo} + {width} * g.i / 4000.0)"
     return (
-        f"(SELECT 2 * exp(lgamma(({df} + 1) / 2) - lgamma({df} / 2)) / sqrt(pi()) * (pi() / 2 - {lo}) / 4000.0 / 3 *"
+        f"(SELECT 2 * exp(lgamma(({df} + 1) / 2) - lgamma({df} / 2)) / sqrt(pi()) * {width} / 4000.0 / 3 *"
         f" sum((CASE WHEN g.i IN (0, 4000) THEN 1 WHEN g.i % 2 = 1 THEN 4 ELSE 2 END) * pow(greatest(cos({u}), 0), {df} - 1)) FROM range(0, 4001) g(i))"
     )
 

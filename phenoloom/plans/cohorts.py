@@ -27,10 +27,18 @@ class Cohort:
     matrix: DataFrame  # sample_id, features
     names: list[str]
     pheno: DataFrame  # sample_id, outcome, ...
+    rows: DataFrame | None = None
 
     def joined(self) -> DataFrame:
         """Matrix and phenotype, one row per sample: joined before any explode."""
-        return self.matrix.join(self.pheno, "sample_id")
+        return self.rows if self.rows is not None else self.matrix.join(self.pheno, "sample_id")
+
+    def stored(self) -> Cohort:
+        """The same cohort with its aligned rows computed once and kept, for work that reads them several times."""
+        from phenoloom.session import materialise
+
+        rows = materialise(self.joined())
+        return Cohort(rows.select("sample_id", "features"), self.names, rows.drop("features"), rows)
 
     def cells(self, keep: tuple[str, ...] = ("sample_id", "outcome")) -> DataFrame:
         return cells_from_arrays(self.joined(), self.names, list(keep))

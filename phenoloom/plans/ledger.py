@@ -161,6 +161,6 @@ def timing_shares(ledger: DataFrame) -> DataFrame:
 
 def overhead(ledger: DataFrame) -> DataFrame:
     """Wall time of a run, its measured part, and the rest."""
-    wall = F.unix_micros(F.max("ended")) / 1e6 - F.unix_micros(F.min("started")) / 1e6
+    wall = F.unix_micros(F.max("ended").cast("timestamp")) / 1e6 - F.unix_micros(F.min("started").cast("timestamp")) / 1e6
     out = ledger.groupBy("run_id").agg(F.sum("elapsed_s").alias("measured"), wall.alias("wall"))
     return out.withColumn("overhead", F.col("wall") - F.col("measured"))

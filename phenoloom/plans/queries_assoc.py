@@ -306,10 +306,10 @@ def sql_newton(cells: str, rounds: int) -> str:
     ]
     for k in range(rounds):
         parts.append(
-            f"""m{k} AS (SELECT feature, x, z, y, b{k}.a, b{k}.b, b{k}.c, 1 / (1 + exp(-(b{k}.a + b{k}.b * x + b{k}.c * z))) AS mu FROM cells JOIN b{k} USING (feature)),
- s{k} AS (SELECT feature, any_value(a) AS a, any_value(b) AS b, any_value(c) AS c, sum(mu - y) AS g0, sum((mu - y) * x) + any_value(b) AS g1,
-   sum((mu - y) * z) + any_value(c) AS g2, sum(mu * (1 - mu)) AS p, sum(mu * (1 - mu) * x) AS q, sum(mu * (1 - mu) * z) AS r,
-   sum(mu * (1 - mu) * x * x) + 1 AS s, sum(mu * (1 - mu) * x * z) AS t, sum(mu * (1 - mu) * z * z) + 1 AS u FROM m{k} GROUP BY 1),
+            f"""m{k} AS (SELECT feature, x, z, y, w, b{k}.a, b{k}.b, b{k}.c, 1 / (1 + exp(-(b{k}.a + b{k}.b * x + b{k}.c * z))) AS mu FROM cells JOIN b{k} USING (feature)),
+ s{k} AS (SELECT feature, any_value(a) AS a, any_value(b) AS b, any_value(c) AS c, sum(w * (mu - y)) AS g0, sum(w * (mu - y) * x) + any_value(b) AS g1,
+   sum(w * (mu - y) * z) + any_value(c) AS g2, sum(w * mu * (1 - mu)) AS p, sum(w * mu * (1 - mu) * x) AS q, sum(w * mu * (1 - mu) * z) AS r,
+   sum(w * mu * (1 - mu) * x * x) + 1 AS s, sum(w * mu * (1 - mu) * x * z) AS t, sum(w * mu * (1 - mu) * z * z) + 1 AS u FROM m{k} GROUP BY 1),
  d{k} AS (SELECT *, p * (s * u - t * t) - q * (q * u - t * r) + r * (q * t - s * r) AS det FROM s{k}),
  b{k + 1} AS MATERIALIZED (SELECT feature,
    a - (g0 * (s * u - t * t) - q * (g1 * u - t * g2) + r * (g1 * t - s * g2)) / det AS a,
@@ -321,7 +321,7 @@ def sql_newton(cells: str, rounds: int) -> str:
 
 _LOGIT_CELLS = f"""{K.sql_vector_cells(1)}"""
 _LOGIT = _LOGIT_CELLS.replace("cells AS (", "cells0 AS (") + (
-    ", cells AS (SELECT feature, value AS x, (sample_id % 7) / 7.0 AS z, CAST(outcome AS DOUBLE) AS y FROM cells0)"
+    ", cells AS (SELECT feature, value AS x, (sample_id % 7) / 7.0 AS z, CAST(outcome AS DOUBLE) AS y, 1.0 AS w FROM cells0)"
 )
 
 
@@ -437,7 +437,7 @@ def mtry_grid(spark, sf):
  SELECT feature, round(greatest(0.0, sum(t)), 6) AS mutual_info FROM t GROUP BY 1""",
 )
 def binned_mi(spark, sf):
-    return tidy(I.binned_mi(K.docs(spark, sf).cells()))
+    return tidy(I.binned_mi(K.docs(spark, sf).stored().cells()))
 
 
 _KNN = f"""WITH {K.sql_vector_cells(9)}, w AS (SELECT feature, sample_id, outcome AS y, value AS x FROM cells),
@@ -466,7 +466,7 @@ def neighbour_mi(spark, sf):
  row_number() OVER (ORDER BY round(mi, 12) DESC, feature) AS mi_rank FROM tested JOIN mi USING (feature)""",
 )
 def compare_importance(spark, sf):
-    cells = K.docs(spark, sf).cells()
+    cells = K.docs(spark, sf).stored().cells()
     t = I.compare_importance(cells, "sample_id", methods=("f", "binned_mi"))
     return t.select(
         "feature",

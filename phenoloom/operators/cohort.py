@@ -92,16 +92,23 @@ def align(features: DataFrame, pheno: DataFrame, key: str) -> DataFrame:
     return features.join(pheno, key, "inner")
 
 
-def alignment_counts(features: DataFrame, pheno: DataFrame, key: str) -> DataFrame:
-    """Rows on either side, in common, and dropped. One shuffle of keys, combined on the map side."""
+def _alignment(features: DataFrame, pheno: DataFrame, key: str) -> DataFrame:
     tagged = features.select(key, F.lit(1).alias("f"), F.lit(0).alias("p")).unionByName(
         pheno.select(key, F.lit(0).alias("f"), F.lit(1).alias("p"))
     )
     per_key = tagged.groupBy(key).agg(F.sum("f").alias("f"), F.sum("p").alias("p"))
     both = F.when((F.col("f") > 0) & (F.col("p") > 0), 1).otherwise(0)
     return per_key.agg(
-        F.sum("f").alias("n_features"), F.sum("p").alias("n_pheno"), F.sum(both).alias("n_common")
-    ).select(
+        F.sum("f").alias("n_features"),
+        F.sum("p").alias("n_pheno"),
+        F.sum(both).alias("n_common"),
+        F.max(F.greatest("f", "p")).alias("_most"),
+    )
+
+
+def alignment_counts(features: DataFrame, pheno: DataFrame, key: str) -> DataFrame:
+    """Rows on either side, in common, and dropped. One shuffle of keys, combined on the map side."""
+    return _alignment(features, pheno, key).drop("_most").select(
         "*",
         (F.col("n_features") - F.col("n_common")).alias("dropped_features"),
         (F.col("n_pheno") - F.col("n_common")).alias("dropped_pheno"),
@@ -109,11 +116,15 @@ def alignment_counts(features: DataFrame, pheno: DataFrame, key: str) -> DataFra
 
 
 def require_overlap(features: DataFrame, pheno: DataFrame, key: str, name: str) -> None:
-    n = alignment_counts(features, pheno, key).first()
+    """Refuse tables without a common sample, or with a sample id twice; warn of rows without a partner."""
+    n = _alignment(features, pheno, key).first()
     if not n["n_common"]:
         raise ValueError(f"no common sample ids between features and phenotypes ({name})")
-    if n["dropped_features"] or n["dropped_pheno"]:
-        warnings.warn(f"{name}: {n['dropped_features']} feature rows and {n['dropped_pheno']} phenotype rows have no partner")
+    if n["_most"] > 1:
+        raise ValueError(f"a sample id occurs more than once ({name})")
+    lost = [n[c] - n["n_common"] for c in ("n_features", "n_pheno")]
+    if any(lost):
+        warnings.warn(f"{name}: {lost[0]} feature rows and {lost[1]} phenotype rows have no partner")
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, columns: dict[str, str]) -> DataFrame:

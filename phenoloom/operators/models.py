@@ -17,12 +17,12 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param import Param, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,12 +108,13 @@ class RandomFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     W and b are drawn from the seed inside each task, so nothing large is shipped. Rows pass in Arrow batches.
     """
 
-    def __init__(self, gamma: float = 1.0, size: int = 256, seed: int = SEED) -> None:
+    def __init__(self, gamma: float = 1.0, size: int = 256, seed: int = SEED, source: str = "features") -> None:
         super().__init__()
+        self.source = Param(self, "source", "vector column", TypeConverters.toString)
         self.gamma = Param(self, "gamma", "kernel width", TypeConverters.toFloat)
         self.size = Param(self, "size", "number of features", TypeConverters.toInt)
         self.seed = Param(self, "seed", "seed", TypeConverters.toInt)
-        self._set(gamma=gamma, size=size, seed=seed)
+        self._set(gamma=gamma, size=size, seed=seed, source=source)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         gamma, size, seed = (self.getOrDefault(p) for p in (self.gamma, self.size, self.seed))
@@ -128,7 +129,7 @@ class RandomFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
             b = rng.uniform(0, 2 * math.pi, size)
             return pd.Series(list(math.sqrt(2.0 / size) * np.cos(m @ w + b)))
 
-        return dataset.withColumn("kernel_features", array_to_vector(lift(vector_to_array("features"))))
+        return dataset.withColumn("kernel_features", array_to_vector(lift(vector_to_array(self.getOrDefault(self.source)))))
 
 
 def kernel_width(gamma, frame: DataFrame) -> float:
@@ -144,6 +145,15 @@ def kernel_width(gamma, frame: DataFrame) -> float:
     raise ValueError(f"invalid gamma {gamma!r}")
 
 
+#: Rows per task worth having in an iterative fit; below it the tasks cost more than they do.
+ROWS_PER_TASK = 20_000
+
+
+def compact(frame: DataFrame, rows: int) -> DataFrame:
+    """No more partitions than the rows are worth. Never adds any, so a large frame keeps its own."""
+    return frame.coalesce(max(1, math.ceil(rows / ROWS_PER_TASK)))
+
+
 # --- one fit ---------------------------------------------------------------------------------------------------------
 
 
@@ -170,49 +180,58 @@ def _estimator(model: str, params: dict, rows: int, weighted: bool, seed: int):
 
 
 def fit(
-    train: DataFrame, model: str, params: dict | None = None, seed: int = SEED, scale: bool = False, counts: dict | None = None
+    train: DataFrame,
+    model: str,
+    params: dict | None = None,
+    seed: int = SEED,
+    scale: bool = False,
+    counts: dict | None = None,
+    keep: bool = False,
 ) -> PipelineModel:
-    """Fit one model on a frame. The result adds ``prediction`` and ``probability`` to any frame with vector features."""
-    params = dict(params or {})
-    counts = counts or class_counts(train, LABEL)
+    """Fit one model on a frame. The result adds ``prediction`` and ``probability`` to any frame with vector features.
+
+    ``keep`` holds the frame for the duration of the fit: for frames that are costly to derive (resampled, with shadow
+    features), as a fit reads its input several times.
+    """
+    if keep:
+        train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit(train, model, dict(params or {}), seed, scale, counts or class_counts(train, LABEL))
+    finally:
+        if keep:
+            train.unpersist()
+
+
+def _fit(train: DataFrame, model: str, params: dict, seed: int, scale: bool, counts: dict) -> PipelineModel:
     if len(counts) < 2:
         raise ValueError("the outcome needs at least two classes")
     rows, spec = sum(counts.values()), recipe(model)
-    data = train
+    data = compact(train, rows)
     if spec.balanced:
         data = data.withColumn("weight", balanced_weight(F.col(LABEL), counts))
     data = data.withColumn("features", array_to_vector(F.col("features")))
-    before = []
+    before, column = [], "features"
     if scale:
-        before = [
-            StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
-        ]
-        scaler = before[0].fit(data)
-        d = len(scaler.mean)
+        scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(data)
         # sample to population standard deviation
-        stretch = ElementwiseProduct(scalingVec=Vectors.dense([math.sqrt(rows / max(rows - 1, 1))] * d), inputCol="scaled", outputCol="scaled_features")
-        before = [scaler, stretch]
+        factor = math.sqrt(rows / max(rows - 1, 1))
+        stretch = ElementwiseProduct(
+            scalingVec=Vectors.dense([factor] * len(scaler.mean)), inputCol="scaled", outputCol="scaled_features"
+        )
+        before, column = [scaler, stretch], "scaled_features"
         data = stretch.transform(scaler.transform(data))
-    column = "scaled_features" if scale else "features"
     if model == "svm":
-        return _fit_svm(train, data, before, column, spec.defaults | params, rows, seed)
+        return _fit_svm(data, before, column, spec.defaults | params, rows, seed)
     est = _estimator(model, params, rows, spec.balanced, seed).setFeaturesCol(column)
     return PipelineModel([*before, est.fit(data)])
 
 
-def _fit_svm(frame: DataFrame, data: DataFrame, before: list, column: str, p: dict, rows: int, seed: int) -> PipelineModel:
+def _fit_svm(data: DataFrame, before: list, column: str, p: dict, rows: int, seed: int) -> PipelineModel:
     """Linear or kernel machine, with probabilities by a logistic fit on margins of rows not used for the margin."""
     stages = list(before)
     if p["kernel"] == "rbf":
-        if column != "features":
-            data = data.drop("features").withColumnRenamed(column, "features")
-            raise_scaled = True
-        else:
-            raise_scaled = False
-        gamma = kernel_width(p["gamma"], data.select(vector_to_array("features").alias("features")))
-        lift = RandomFeatures(gamma, p["n_random"], seed)
-        if raise_scaled:
-            raise ValueError("scale the frame itself before a kernel machine")
+        gamma = kernel_width(p["gamma"], data.select(vector_to_array(column).alias("features")))
+        lift = RandomFeatures(gamma, p["n_random"], seed, column)
         stages.append(lift)
         data, column = lift.transform(data), "kernel_features"
     elif p["kernel"] != "linear":
@@ -223,7 +242,7 @@ def _fit_svm(frame: DataFrame, data: DataFrame, before: list, column: str, p: di
     )
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        part = F.pmod(F.xxhash64(column if column == "features" else "features", F.lit(seed)), F.lit(3))
+        part = F.pmod(F.xxhash64(vector_to_array("features"), F.lit(seed)), F.lit(3))
         held = []
         for k in range(3):
             m = svc.fit(data.where(part != k))
@@ -259,14 +278,16 @@ def run_all(jobs: Sequence[Callable], parallelism: int) -> list:
     if parallelism <= 1 or len(jobs) <= 1:
         return [j() for j in jobs]
     with ThreadPoolExecutor(parallelism) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(j)) for j in jobs]]
+        carry = inheritable_thread_target(SparkSession.getActiveSession())
+        return [f.result() for f in [pool.submit(carry(j)) for j in jobs]]
 
 
 def with_folds(frame: DataFrame, key: str, k: int, repeats: int, seed: int) -> DataFrame:
     """Add ``folds``, a map from repeat to fold: the wide rows are not copied per repeat."""
+    rows = frame.count()
     folds = repeated_folds(frame.select(key, LABEL), key, LABEL, k, repeats, seed)
     per = folds.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("repeat", "fold"))).alias("folds"))
-    return frame.join(per, key)
+    return compact(frame.join(per, key), rows)
 
 
 def fold_counts(frame: DataFrame) -> dict:
@@ -320,7 +341,7 @@ def cross_scores(
                 else:
                     _resampled(train, names, key, sampling, seed)
                     used = _training_counts(counts, repeat, fold)
-                fitted = fit(train, model, settings[i], seed, scale, used)
+                fitted = fit(train, model, settings[i], seed, scale, used, keep=sampling == "rose")
             except Exception as e:  # noqa: BLE001
                 errors[i] = str(e).split("\n")[0]
                 return None
@@ -502,7 +523,7 @@ def train_model(
             best, tuning = grid_search(train, names, key, model, grid, k, repeats, metric, sampling, seed, scale, parallelism)
             params |= best
         used = _resampled(train, names, key, sampling, seed)
-        fitted = fit(used, model, params, seed, scale, None if sampling == "rose" else counts)
+        fitted = fit(used, model, params, seed, scale, None if sampling == "rose" else counts, keep=sampling == "rose")
         rows = evaluate_split(fitted, train, key, model, "train")
         scores = cross_validate(train, names, key, model, params, k, repeats, sampling, seed, scale, parallelism)
         cv = cv_auc(scores).first()
@@ -589,7 +610,7 @@ def oob_scores(frame: DataFrame, key: str, bags: int = 50, params: dict | None =
     """Out-of-bag scores: every bag weights the rows by a Poisson(1) count from their hash, fits one tree, and scores
     the rows of weight zero; scores are averaged per row."""
     base = frame.withColumn("balance", balanced_weight(F.col(LABEL), class_counts(frame, LABEL)))
-    base = base.withColumn("features", array_to_vector(F.col("features"))).persist(StorageLevel.MEMORY_AND_DISK)
+    base = compact(base.withColumn("features", array_to_vector(F.col("features"))), frame.count()).persist(StorageLevel.MEMORY_AND_DISK)
     settings = {"maxDepth": 10, "featureSubsetStrategy": "sqrt"} | (params or {})
 
     def bag(i: int):

@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,7 +105,7 @@ def with_shadows(frame: DataFrame, key: str, seed: int | str = M.SEED) -> DataFr
 def corrected_importance(frame: DataFrame, names: Sequence[str], key: str, params: dict | None = None, seed: int = M.SEED) -> DataFrame:
     """Impurity importance less that of the feature's shadow (Nembrini et al. 2018); may be negative."""
     both = [*names, *[f"shadow:{n}" for n in names]]
-    fitted = M.fit(with_shadows(frame, key, seed), "random_forest", params, seed)
+    fitted = M.fit(with_shadows(frame, key, seed), "random_forest", params, seed, keep=True)
     weights = dict(M.feature_weights(fitted, both))
     rows = [(n, weights[n] - weights[f"shadow:{n}"]) for n in names]
     return frame.sparkSession.createDataFrame(rows, "feature string, importance double")
@@ -133,6 +132,7 @@ def repeated_importance(
     spark = frame.sparkSession
     both = [*names, *[f"shadow:{n}" for n in names]]
     folded = M.with_folds(frame, key, k, repeats, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = M.fold_counts(folded)
 
     def job(repeat: int, fold: int):
         def run():
@@ -146,7 +146,9 @@ def repeated_importance(
                 chosen |= best
             used = M._resampled(train, names, key, sampling, f"{seed}:{repeat}:{fold}")
             used_key = "draw" if sampling == "rose" else key
-            fitted = M.fit(with_shadows(used, used_key, f"{seed}:{repeat}:{fold}"), "random_forest", chosen, seed)
+            # a permutation of the rows keeps the class counts
+            known = None if sampling == "rose" else M._training_counts(counts, repeat, fold)
+            fitted = M.fit(with_shadows(used, used_key, f"{seed}:{repeat}:{fold}"), "random_forest", chosen, seed, counts=known, keep=True)
             w = dict(M.feature_weights(fitted, both))
             rows = [
                 (repeat, fold, n, None if w[n] == 0 and w[f"shadow:{n}"] == 0 else w[n] - w[f"shadow:{n}"]) for n in names
@@ -219,9 +221,10 @@ def rfe(
     """Eliminate down to ``n_select`` features (default: half of them, at most 20). ``ranking`` 1 is selected."""
     model, settings = _estimator(estimator, params)
     down_to = n_select or max(1, min(DEFAULT_KEPT, len(names) // 2))
-    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    counts = M.class_counts(frame, M.LABEL)
+    frame = M.compact(frame, sum(counts.values())).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        out = _eliminate(frame, names, down_to, step, model, settings, seed, M.class_counts(frame, M.LABEL))
+        out = _eliminate(frame, names, down_to, step, model, settings, seed, counts)
     finally:
         frame.unpersist()
     return _table(frame, names, *out)
@@ -367,7 +370,3 @@ def compare_selection(
         except Exception as e:  # noqa: BLE001
             warnings.warn(f"selection method {m!r} failed: {e}")
     return reduce(DataFrame.unionByName, tables)
-
-
-def vector_frame(frame: DataFrame) -> DataFrame:
-    return frame.withColumn("features", array_to_vector(F.col("features")))

@@ -96,7 +96,7 @@ def rfe_cv(spark, sf):
 @query("rfe_ladder")
 def rfe_ladder(spark, sf):
     frame, names = doc_frame(spark, sf)
-    _, ladder = Z.rfe_cv(frame, names, KEY, 2, 3, estimator="logistic_regression")
+    _, ladder = Z.rfe_cv(frame, names, KEY, 2, 3, estimator="logistic_regression", params={"maxIter": 30})
     return ladder
 
 
@@ -110,7 +110,7 @@ def rfe_sizes(spark, sf):
 @query("compare_selection")
 def compare_selection(spark, sf):
     frame, names = doc_frame(spark, sf)
-    return Z.compare_selection(frame, names, KEY, k=3, threshold=10.0, params={"random_forest": FOREST}, folds=2)
+    return Z.compare_selection(frame, names, KEY, k=3, threshold=10.0, params={"random_forest": FOREST, "logistic_regression": {"maxIter": 20}}, folds=2)
 
 
 @query("evaluate_features")
@@ -135,9 +135,9 @@ query("train_rf")(_train("random_forest", FOREST))
 query("train_rf_rose")(_train("random_forest", FOREST, sampling="rose"))
 query("train_gbt")(_train("gradient_boosting", BOOST))
 query("train_xgboost_style")(_train("xgboost", {"maxIter": 10, "maxDepth": 3, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}))
-query("train_elastic_net")(_train("elastic_net", {"regParam": 0.01}, scale=True))
-query("train_svm_linear")(_train("svm", {"kernel": "linear", "maxIter": 30}, scale=True))
-query("train_svm_rbf")(_train("svm", {"kernel": "rbf", "maxIter": 30, "n_random": 64}, frame=vector_frame))
+query("train_elastic_net")(_train("elastic_net", {"regParam": 0.01, "maxIter": 50}, scale=True))
+query("train_svm_linear")(_train("svm", {"kernel": "linear", "maxIter": 10}, scale=True))
+query("train_svm_rbf")(_train("svm", {"kernel": "rbf", "maxIter": 10, "n_random": 64}, frame=vector_frame))
 query("train_logistic_lines")(_train("logistic_regression", {"maxIter": 50}, frame=line_frame))
 
 

@@ -7,13 +7,14 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StructField, StructType
 
 from phenoloom.functions.special import digamma, f_p, scalar_digamma, student_t_p, trigamma, trigamma_inverse
 from phenoloom.operators.ordered import SLICE, accumulate, exact_quantiles, slice_by_order
-from phenoloom.session import materialise, small_side
+from phenoloom.session import BROADCAST_ROW_LIMIT, materialise, small_side
 
 ALPHA = 0.05
 MAX_SELECTED = 200
@@ -213,11 +214,16 @@ def associate_adjusted(
     from phenoloom.operators.cohort import complete_features
     from phenoloom.operators.shape import cells_from_arrays
 
-    cells = cells_from_arrays(matrix, names, [*covariates, outcome])
-    usable = small_side(materialise(complete_features(cells)))
-    kept = cells.join(usable, "feature", "left_semi")
-    fitted = fit_logistic(kept, covariates, outcome)
-    tests = pearson(kept, outcome).select("feature", F.col("r").alias("pearson_r"), F.col("p_value"))
+    # held in the array form, one row per sample: every round of the fit reads it again
+    matrix = matrix.select("features", *covariates, outcome).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cells = cells_from_arrays(matrix, names, [*covariates, outcome])
+        usable = small_side(materialise(complete_features(cells)))
+        kept = cells.join(usable, "feature", "left_semi")
+        tests = materialise(pearson(kept, outcome).select("feature", F.col("r").alias("pearson_r"), F.col("p_value")))
+        fitted = fit_logistic(kept, covariates, outcome)
+    finally:
+        matrix.unpersist()
     out = fitted.join(tests, "feature").select(
         "feature",
         "n",
@@ -290,31 +296,27 @@ def fit_logistic(
         )
     )
     step = _newton_step(dim, tol)
+    few = state.limit(BROADCAST_ROW_LIMIT + 1).count() <= BROADCAST_ROW_LIMIT
+    beta = F.col("beta")
+    # eta and mu are computed once per cell, not once per sum
+    eta = sum((beta[i] * xs[i] for i in range(1, dim)), beta[0])
+    mu, e = F.col("_mu"), F.col("_eta")
+    loss = F.greatest(e, F.lit(0.0)) + F.log1p(F.exp(-F.abs(e))) - F.col("y") * e
+    pairs = [(i, j) for i in range(dim) for j in range(i, dim)]
+    grads = [F.sum((mu - F.col("y")) * x).alias(f"_g{i}") for i, x in enumerate(xs)]
+    hess = [F.sum(mu * (1.0 - mu) * xs[i] * xs[j]).alias(f"_h{i}_{j}") for i, j in pairs]
+    ridge = [F.col(f"_g{i}") + (F.lit(penalty) * beta[i] if i else F.lit(0.0)) for i in range(dim)]
+    curve = [F.col(f"_h{i}_{j}") + F.lit(penalty if i == j and i else 0.0) for i, j in pairs]
+    total = F.col("_l") + F.lit(0.5 * penalty) * sum((beta[i] * beta[i] for i in range(1, dim)), F.lit(0.0))
     for _ in range(max_iter):
-        open_features = small_side(state.where(~F.col("done")).select("feature", "beta"))
-        # eta and mu are computed once per cell, not once per sum
-        scored = data.join(open_features, "feature")
-        eta = sum((F.col("beta")[i] * xs[i] for i in range(1, dim)), F.col("beta")[0])
-        scored = scored.withColumn("_eta", eta).withColumn("_mu", 1.0 / (1.0 + F.exp(-F.col("_eta"))))
-        mu, e = F.col("_mu"), F.col("_eta")
-        loss = F.greatest(e, F.lit(0.0)) + F.log1p(F.exp(-F.abs(e))) - F.col("y") * e
-        grads = [F.sum((mu - F.col("y")) * x).alias(f"_g{i}") for i, x in enumerate(xs)]
-        hess = [
-            F.sum(mu * (1.0 - mu) * xs[i] * xs[j]).alias(f"_h{i}_{j}") for i in range(dim) for j in range(i, dim)
-        ]
-        sums = scored.groupBy("feature").agg(F.sum(loss).alias("_l"), *grads, *hess)
-        joined = state.join(small_side(materialise(sums)), "feature", "left")
-        beta = F.col("beta")
-        ridge = [F.col(f"_g{i}") + (F.lit(penalty) * beta[i] if i else F.lit(0.0)) for i in range(dim)]
-        curve = [
-            F.col(f"_h{i}_{j}") + F.lit(penalty if i == j and i else 0.0) for i in range(dim) for j in range(i, dim)
-        ]
-        total = F.col("_l") + F.lit(0.5 * penalty) * sum((beta[i] * beta[i] for i in range(1, dim)), F.lit(0.0))
-        moved = joined.where(~F.col("done")).select(
-            "feature", "n", step("beta", "step", "loss", total, F.array(*ridge, *curve)).alias("s")
-        ).select("feature", "n", "s.*")
-        state = materialise(moved.unionByName(joined.where("done").select(*moved.columns)))
-        if state.where(~F.col("done")).limit(1).count() == 0:
+        current = state.where(~F.col("done"))
+        side = current.select("feature", "beta")
+        scored = data.join(F.broadcast(side) if few else side, "feature").withColumn("_eta", eta)
+        sums = scored.withColumn("_mu", 1.0 / (1.0 + F.exp(-e))).groupBy("feature").agg(F.sum(loss).alias("_l"), *grads, *hess)
+        joined = sums.join(F.broadcast(current) if few else current, "feature")
+        moved = joined.select("feature", "n", step("beta", "step", "loss", total, F.array(*ridge, *curve)).alias("s"))
+        state = materialise(moved.select("feature", "n", "s.*").unionByName(state.where("done")))
+        if state.agg(F.bool_and("done").alias("d")).first()["d"]:
             break
     return state.select("feature", "n", F.col("beta")[1].alias("coefficient"), "beta", F.col("done").alias("converged"))
 

@@ -138,7 +138,7 @@ query("train_xgboost_style")(_train("xgboost", {"maxIter": 10, "maxDepth": 3, "s
 query("train_elastic_net")(_train("elastic_net", {"regParam": 0.01, "maxIter": 50}, scale=True))
 query("train_svm_linear")(_train("svm", {"kernel": "linear", "maxIter": 10}, scale=True))
 query("train_svm_rbf")(_train("svm", {"kernel": "rbf", "maxIter": 10, "n_random": 64}, frame=vector_frame))
-query("train_logistic_lines")(_train("logistic_regression", {"maxIter": 50}, frame=line_frame))
+query("train_logistic_lines")(_train("logistic_regression", {"maxIter": 15}, frame=line_frame, scale=True))
 
 
 _LOGISTIC = f"""{K.SQL_LINES}, n AS (SELECT outcome, count(*) AS c FROM lines GROUP BY 1),

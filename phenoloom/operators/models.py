@@ -438,9 +438,11 @@ def grid_search(
     scale: bool = False,
     parallelism: int = 4,
     batch: int = 16,
+    base: dict | None = None,
 ) -> tuple[dict, list[dict]]:
     """Cross-validate every combination; return the best parameters and one record per combination.
 
+    ``base`` holds parameters common to all of them.
     Folds are shared by all combinations. Predictions of a batch of combinations are scored by one grouped aggregate.
     """
     if metric not in ("auc", "accuracy"):
@@ -451,7 +453,8 @@ def grid_search(
     try:
         for start in range(0, len(settings), batch):
             some = settings[start : start + batch]
-            scores, errors = cross_scores(folded, names, key, model, some, k, repeats, sampling, seed, scale, parallelism)
+            full = [(base or {}) | x for x in some]
+            scores, errors = cross_scores(folded, names, key, model, full, k, repeats, sampling, seed, scale, parallelism)
             by = ["setting", "repeat", "fold"]
             table = E.auc(scores, by) if metric == "auc" else E.accuracy(scores, by)
             means = {
@@ -520,7 +523,7 @@ def train_model(
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if tune:
-            best, tuning = grid_search(train, names, key, model, grid, k, repeats, metric, sampling, seed, scale, parallelism)
+            best, tuning = grid_search(train, names, key, model, grid, k, repeats, metric, sampling, seed, scale, parallelism, base=params)
             params |= best
         used = _resampled(train, names, key, sampling, seed)
         fitted = fit(used, model, params, seed, scale, None if sampling == "rose" else counts, keep=sampling == "rose")

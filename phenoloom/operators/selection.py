@@ -141,7 +141,7 @@ def repeated_importance(
             chosen = dict(params or {})
             if grid:
                 best, _ = M.grid_search(
-                    train, names, key, "random_forest", grid, inner_k, 1, "accuracy", sampling, seed, parallelism=1
+                    train, names, key, "random_forest", grid, inner_k, 1, "accuracy", sampling, seed, parallelism=1, base=params
                 )
                 chosen |= best
             used = M._resampled(train, names, key, sampling, f"{seed}:{repeat}:{fold}")

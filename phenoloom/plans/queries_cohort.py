@@ -25,7 +25,7 @@ def scratch(spark: SparkSession) -> str:
 
 @query(
     "align_inner",
-    f"WITH {K.SQL_DOCS} SELECT d.sample_id, d.n_chars, l.quality FROM docs d JOIN labels l ON l.doc_id = d.sample_id",
+    f"WITH {K.SQL_DOCS} SELECT d.sample_id, d.n_chars, CAST(l.quality AS BIGINT) AS quality FROM docs d JOIN labels l ON l.doc_id = d.sample_id",
 )
 def align_inner(spark: SparkSession, sf: str) -> DataFrame:
     labels = K.table(spark, sf, "labels").withColumnRenamed("doc_id", "sample_id")
@@ -300,6 +300,22 @@ def compat_report(spark, sf):
     return tidy(C.compatibility_report(matrix, pheno, "AOD_case_t0", "sample_id"))
 
 
+@query(
+    "prepare_matrices",
+    f"""WITH {K.SQL_PEOPLE}, j AS (SELECT m.sample_id, "P1", "Sex", "Age_at_recruitment" AS age, "BMI" FROM matrix m JOIN pheno USING (sample_id)),
+ tr AS (SELECT * FROM j WHERE sample_id % 10 <> 0), md AS (SELECT "Sex" AS v FROM tr WHERE "Sex" IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+ SELECT sample_id, "P1", coalesce("Sex", (SELECT v FROM md)) AS sex, CAST(age AS DOUBLE) AS age, round(coalesce("BMI", (SELECT quantile_cont("BMI", 0.5) FROM tr)), 6) AS bmi
+ FROM j WHERE sample_id % 10 = 0""",
+)
+def prepare_matrices(spark, sf):
+    matrix, pheno = K.people(spark, sf)
+    train, val = F.col("sample_id") % 10 != 0, F.col("sample_id") % 10 == 0
+    done = C.prepare(matrix.where(train), pheno.where(train), matrix.where(val), pheno.where(val), "comb", "AOD_case_t0")
+    return tidy(
+        done.val.select("sample_id", "P1", F.col("Sex").alias("sex"), F.col("Age_at_recruitment").alias("age"), F.col("BMI").alias("bmi"))
+    )
+
+
 # --- sets ------------------------------------------------------------------------------------------------------------
 
 
@@ -452,6 +468,19 @@ def json_summary(spark, sf):
     return IO.read_json(spark, path, "key bigint, n bigint")
 
 
+@query(
+    "run_log_counts",
+    """WITH l AS (SELECT quality AS y, doc_id % 10 = 0 AS val FROM labels), c AS (SELECT
+   count(*) FILTER (y = 1) AS a, count(*) FILTER (y = 0) AS b, count(*) FILTER (y = 1 AND NOT val) AS c, count(*) FILTER (y = 0 AND NOT val) AS d,
+   count(*) FILTER (y = 1 AND val) AS e, count(*) FILTER (y = 0 AND val) AS f FROM l)
+ SELECT 'rf' AS model, unnest(['nr cases all', 'nr controls all', 'nr cases train/test', 'nr controls train/test', 'nr cases validation', 'nr controls validation', 'nrfeat', 'rfe']) AS key,
+   unnest([a::DOUBLE, b, c, d, e, f, 2, 1]) AS value FROM c""",
+)
+def run_log_counts(spark, sf):
+    l = K.table(spark, sf, "labels")
+    return IO.log_facts("rf", ["a", "b"], l.where("doc_id % 10 <> 0"), l.where("doc_id % 10 = 0"), "quality", True)
+
+
 @query(
     "run_log",
     "WITH m AS (SELECT o_orderstatus AS model, avg(o_totalprice) AS v, count(*) AS n FROM orders GROUP BY 1)"

@@ -116,3 +116,22 @@ def append_log(rows: DataFrame, path: str, run_id: str) -> None:
     rows.select(
         F.lit(run_id).alias("run_id"), "model", "key", F.round(F.col("value").cast("double"), 4).alias("value")
     ).write.mode("append").parquet(path)
+
+
+def log_facts(model: str, features: Sequence[str], train: DataFrame, val: DataFrame, outcome: str, eliminated: bool) -> DataFrame:
+    """What a run is about, as log rows ``(model, key, value)``: class counts per part, features, elimination or not."""
+    y = F.col("y")
+    parts = train.select(F.col(outcome).alias("y"), F.lit("train/test").alias("part")).unionByName(
+        val.select(F.col(outcome).alias("y"), F.lit("validation").alias("part"))
+    )
+    # one row of counts, unpivoted
+    counts = parts.agg(
+        *[
+            F.count_if((y == level) & where).cast("double").alias(f"nr {name} {part}")
+            for part, where in (("all", F.lit(True)), ("train/test", F.col("part") == "train/test"), ("validation", F.col("part") == "validation"))
+            for name, level in (("cases", 1), ("controls", 0))
+        ],
+        F.lit(float(len(set(features)))).alias("nrfeat"),
+        F.lit(float(eliminated)).alias("rfe"),
+    )
+    return counts.select(F.lit(model).alias("model"), "*").unpivot(["model"], [c for c in counts.columns], "key", "value")

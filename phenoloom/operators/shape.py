@@ -28,9 +28,13 @@ def cells_from_wide(df: DataFrame, features: Sequence[str], keep: Sequence[str])
 
 
 def cells_from_arrays(df: DataFrame, names: Sequence[str], keep: Sequence[str], col: str = "features") -> DataFrame:
-    """Explode the array form. One narrow step, no shuffle; the names travel as one literal."""
+    """Explode the array form. One narrow step, no shuffle; the names travel as one literal.
+
+    The outer form, less its empty rows: for the inner one Catalyst infers a filter on the array, which makes it compute
+    a derived array twice.
+    """
     labels = F.array(*[F.lit(n) for n in names])
-    return df.select(*keep, F.posexplode(col).alias("_pos", "value")).select(
+    return df.select(*keep, F.posexplode_outer(col).alias("_pos", "value")).where(F.col("_pos").isNotNull()).select(
         *keep, F.get(labels, F.col("_pos")).alias("feature"), F.col("value").cast("double").alias("value")
     )
 

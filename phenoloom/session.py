@@ -28,13 +28,24 @@ def local_session(cores: str = "*", app: str = "phenoloom", shuffle_partitions:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one only where none is set."""
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where none is set, a temporary folder serves a session whose driver and executors are one process; any other
+    session needs a folder that all its machines share, so its absence is an error.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="phenoloom-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not runs_in_one_process(sc.master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {sc.master} share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="phenoloom-"))
     return sc.getCheckpointDir()
 
 
+def runs_in_one_process(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, write it to the shared checkpoint folder and go on from there.
 

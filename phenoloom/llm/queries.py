@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenoloom.llm import packing, sharding, url_templates
+from phenoloom.llm import packing, sharding, substring_dedup, url_templates
 from phenoloom.llm.frames import stored
 from phenoloom.llm.registry import query
 from phenoloom.session import shared_folder
@@ -50,3 +50,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_url_templates")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+
+
+@query("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.coalesce("kept_text", F.lit("")), 256)
+    return out.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))

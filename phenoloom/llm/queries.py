@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenoloom.llm import packing, sharding, substring_dedup, url_templates
+from phenoloom.llm import odd_sketch, packing, quality, sharding, substring_dedup, url_templates
 from phenoloom.llm.frames import stored
 from phenoloom.llm.registry import query
 from phenoloom.session import shared_folder
@@ -57,3 +57,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.sha2(F.coalesce("kept_text", F.lit("")), 256)
     return out.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
+@query("op5_quality_rules")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.judge(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
+@query("op10_odd_sketch")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))

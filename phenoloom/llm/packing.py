@@ -12,8 +12,11 @@ gives no rows; null ids are packed like others.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,58 +28,102 @@ from phenoloom.operators.ordered import hashed_rank
 
 CAPACITY = 2048
 #: Words whose tokens a task remembers; forgotten all at once, between batches.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
+#: Lower-case letters that normalisation leaves alone: a run of them is exactly one token word, and so is a final stop.
+_PLAIN = re.compile("[a-zß-öø-ÿœ]+").fullmatch
+_STOPS = (".", ",")
+#: Lead bytes of combining marks, which may join a letter differently in upper and lower case, and of special tokens.
+_AS_IS = (b"\xcc", b"\xcd", b"<|")
 
 
 class WordTokens:
     """Token ids of whole texts, from the ids of their words.
 
     The tokenizer drops white space and never joins what it separates, so the ids of a text are those of its words in
-    order. Each distinct word is encoded once while it is remembered.
+    order. Each distinct word is encoded once while it is remembered: plain ones many at a time, told apart by the
+    tokens that end a word; a plain word with a stop from the word without it; all others on their own.
     """
 
     def __init__(self, tokenizer_json: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.stops = {x: self._encode([x])[0] for x in _STOPS}
         self.forget()
 
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def forget(self) -> None:
-        self.place, self.waiting, self.ids = {}, [], np.zeros(0, np.uint32)
+        self.place, self.ids = {}, np.zeros(0, np.uint32)
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _settle(self) -> None:
-        got = [x.ids for x in self.tokenizer.encode_batch([w.decode() for w in self.waiting], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for x in got for i in x), np.uint32, int(sizes.sum()))
+    def _add(self, words: list[bytes], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.place.update(zip(words, range(len(self.starts), len(self.starts) + len(words)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes, self.ids, self.waiting = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, flat]), []
+        self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+
+    def _gather(self, at: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[at]
+        upto = np.cumsum(sizes)
+        return self.ids[np.repeat(self.starts[at] - (upto - sizes), sizes) + np.arange(int(upto[-1]) if len(upto) else 0)]
+
+    def learn(self, words: set[bytes]) -> None:
+        plain, stopped, other = set(), [], []
+        for word in words:
+            text = word.decode()
+            if _PLAIN(text):
+                plain.add(word)
+            elif text[-1] in _STOPS and _PLAIN(text[:-1]):
+                stopped.append(word)
+            else:
+                other.append(word)
+        plain.update(x for w in stopped if (x := w[:-1]) not in self.place)
+        for i in range(0, len(plain := list(plain)), 5000):
+            some = plain[i : i + 5000]
+            got = self._encode([b" ".join(some[j : j + 100]).decode() for j in range(0, len(some), 100)])
+            ids = np.fromiter(chain.from_iterable(got), np.uint32)
+            last = np.flatnonzero(self.ends[ids])
+            self._add(some, np.diff(last, prepend=-1), ids)
+        for i in range(0, len(other), 2000):
+            some = other[i : i + 2000]
+            got = self._encode([w.decode() for w in some])
+            self._add(some, np.fromiter(map(len, got), np.int64, len(got)), np.fromiter(chain.from_iterable(got), np.uint32))
+        for stop, end in self.stops.items():
+            some = [w for w in stopped if w.endswith(stop.encode())]
+            at = np.array([self.place[w[:-1]] for w in some], np.int64)
+            sizes = self.sizes[at] + len(end)
+            ids = np.empty(int(sizes.sum()), np.uint32)
+            tail = (np.cumsum(sizes) - len(end))[:, None] + np.arange(len(end))
+            mask = np.ones(len(ids), bool)
+            mask[tail] = False
+            ids[mask], ids[tail] = self._gather(at), np.array(end, np.uint32)
+            self._add(some, sizes, ids)
 
     def encode(self, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, each text closed by ``end``, and where each text begins (one more entry than texts)."""
         if len(self.place) > REMEMBERED:
             self.forget()
-        place, waiting, known = self.place, self.waiting, len(self.starts)
         words, counts = [], np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            mine = (text or "").encode().split()
+            raw = (text or "").encode()
+            mine = (raw if any(x in raw for x in _AS_IS) else raw.lower()).split()
             counts[i] = len(mine)
             words += mine
-        for word in set(words).difference(place):
-            place[word] = known + len(waiting)
-            waiting.append(word)
-        if waiting:
-            self._settle()
-        at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-        sizes = self.sizes[at]
-        upto = np.concatenate([[0], np.cumsum(sizes)])
+        if new := set(words).difference(self.place):
+            self.learn(new)
+        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        upto = np.concatenate([[0], np.cumsum(self.sizes[at])])
         owner_end = upto[np.cumsum(counts)]  # ids before the end of each text, without end tokens
         bounds = np.concatenate([[0], owner_end + np.arange(1, len(texts) + 1)])
-        flat = self.ids[np.repeat(self.starts[at] - upto[:-1], sizes) + np.arange(upto[-1])] if len(at) else self.ids[:0]
         out = np.full(bounds[-1], end, np.uint32)
         mask = np.ones(len(out), bool)
         mask[bounds[1:] - 1] = False
-        out[mask] = flat
+        out[mask] = self._gather(at)
         return out, bounds
 
 
@@ -89,7 +136,7 @@ def pieces(docs: DataFrame, tokenizer_json: str, key: str = "doc_id", text: str
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = WordTokens(shipped.value)
         for batch in batches:
-            for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
+            for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
                 ids, bounds = tokens.encode(part.column(1).to_pylist(), end)
                 n = np.diff(bounds)
                 many = -(-n // capacity)

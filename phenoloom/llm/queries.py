@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenoloom.llm import odd_sketch, packing, quality, sharding, substring_dedup, url_templates
+from phenoloom.llm import language_id, odd_sketch, packing, quality, sharding, substring_dedup, url_templates
 from phenoloom.llm.frames import stored
 from phenoloom.llm.registry import query
 from phenoloom.session import shared_folder
@@ -68,3 +68,16 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_odd_sketch")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def learns_from(key: str = "doc_id"):
+    """Rows that may be learned from; the others, where the remainder is 2, are held out."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 != 2, F.lit(False))
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = language_id.fit(docs.where(learns_from()))
+    out = language_id.predict(docs, network)
+    return out.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")

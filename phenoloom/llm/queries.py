@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenoloom.llm import language_id, odd_sketch, packing, quality, sharding, substring_dedup, url_templates
+from phenoloom.llm import embed_dedup, language_id, odd_sketch, packing, quality, sharding, substring_dedup, url_templates
 from phenoloom.llm.frames import stored
 from phenoloom.llm.registry import query
 from phenoloom.session import shared_folder
@@ -81,3 +81,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     network = language_id.fit(docs.where(learns_from()))
     out = language_id.predict(docs, network)
     return out.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_inverted_multi_index")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))

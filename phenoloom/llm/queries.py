@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenoloom.llm import embed_dedup, language_id, odd_sketch, packing, quality, sharding, substring_dedup, url_templates
+from phenoloom.llm import embed_dedup, language_id, lm_scoring, odd_sketch, packing, quality, sharding, substring_dedup, url_templates
 from phenoloom.llm.frames import stored
 from phenoloom.llm.registry import query
 from phenoloom.session import shared_folder
@@ -86,3 +86,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_inverted_multi_index")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_lm_scoring")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_scoring.score(docs, lm_scoring.train(docs))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenoloom.llm import embed_dedup, language_id, lm_scoring, odd_sketch, packing, quality, sharding, substring_dedup, url_templates
+from phenoloom.llm import embed_dedup, language_id, lm_scoring, odd_sketch, packing, piece_lattice, quality, sharding, substring_dedup, url_templates
 from phenoloom.llm.frames import stored
 from phenoloom.llm.registry import query
 from phenoloom.session import shared_folder
@@ -92,3 +92,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return lm_scoring.score(docs, lm_scoring.train(docs))
+
+
+@query("op3_piece_lattice")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = piece_lattice.pieces(spark, public_tokenizers.path("piece_bpe_32k.model"))
+    known = stored(piece_lattice.encode_words(piece_lattice.vocabulary(table(spark, sf_dir, "documents")), model))
+    decoded = piece_lattice.decode(known.select("word", "ids"), model, ["word"])
+    return known.join(decoded, "word").select("word", "n", F.size("ids").alias("n_pieces"), "ids", "decoded")

@@ -1,14 +1,18 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-A text is normalised as the model says (spaces become U+2581, one is put in front) and cut into words before every run
-of U+2581; no piece crosses such a place, so each distinct word is segmented once. All its substrings up to the longest
-piece are equi-joined to the piece table, whose size is fixed; a character without a piece of its own gets the unknown
-edge. The edges of a word are gathered, sorted, and folded by ``aggregate`` into the best score and last edge of every
-position; a second fold reads the segmentation off backwards. Unknown characters become byte pieces.
-
-The segmentation has the highest sum of piece scores, among equals the one whose last piece is longest: what the public
-library computes for a unigram model with these pieces. A word is at most ``LONGEST`` characters and ``SPACES`` leading
-spaces; longer ones are cut there. Edge cases: null and empty texts have no words and no ids; an empty table gives no rows.
+A text is normalised as the model says: spaces become U+2581, and one is put in front. It is cut into words before every
+run of U+2581, after a letter that no letter or number follows, and around line breaks and tabs. No piece crosses such a
+place, so each distinct word is segmented once. All its substrings up to the longest piece are equi-joined to the piece
+table, whose size is fixed; a character without a piece of its own gets the unknown edge. The edges of a word are
+gathered, sorted, and folded by ``aggregate`` into the best score and last edge of every position; a second fold reads
+the segmentation off backwards. Unknown characters become byte pieces.
+
+The segmentation has the highest sum of piece scores, among equals the one whose last piece is longest, which is the
+meaning of a unigram model. A model trained by merges means something else by its scores: the best adjacent pair is
+merged until none is a piece. For such models :func:`merge` folds the same edges that way.
+
+Runs beyond the lengths below are cut where they stand. Edge cases: null and empty texts have no words and no ids; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,9 +25,13 @@ from pyspark.sql import functions as F
 from phenoloom.llm.frames import stored
 
 SPACE = "▁"
-LONGEST, SPACES = 224, 32
-#: A word starts with its spaces; a run of spaces may also stand alone at the end of a text.
-WORD = f"{SPACE}{{0,{SPACES}}}[^{SPACE}]{{1,{LONGEST}}}|{SPACE}{{1,{SPACES}}}"
+#: Most leading spaces, characters of a run, runs before the last letters, and last letters of a word.
+SPACES, RUN, RUNS, LETTERS = 32, 32, 40, 96
+#: A word is its spaces, then anything up to the last letter before something that is neither letter nor number: no piece
+#: goes on there. Line breaks and tabs, which no piece holds, stand alone.
+WORD = (
+    rf"[\n\t]|{SPACE}{{0,{SPACES}}}(?:[^{SPACE}\n\t\p{{L}}]{{1,{RUN}}}|\p{{L}}{{1,{RUN}}}(?=\p{{N}})){{0,{RUNS}}}\p{{L}}{{0,{LETTERS}}}"
+)
 
 
 @dataclass
@@ -46,8 +54,10 @@ def pieces(spark: SparkSession, model_file: str) -> Pieces:
     ids = range(model.get_piece_size())
     ordinary = [i for i in ids if not (model.is_byte(i) or model.is_unknown(i) or model.is_control(i) or model.is_unused(i))]
     names = {i: model.id_to_piece(i) for i in ids}
-    if any(SPACE in names[i].lstrip(SPACE) for i in ordinary):
-        raise ValueError("a piece that goes on after a space cannot be found word by word")
+    for name in map(names.get, ordinary):
+        inner = name.lstrip(SPACE)
+        if set(inner) & {SPACE, "\n", "\t"} or any(a.isalpha() and not b.isalnum() for a, b in zip(inner, inner[1:], strict=False)):
+            raise ValueError(f"{name!r} crosses a place where words are cut")
     byte_ids = [i for i in ids if model.is_byte(i)]
     if [names[i] for i in byte_ids] != [f"<0x{b:02X}>" for b in range(256)] or byte_ids[-1] - byte_ids[0] != 255:
         raise ValueError("byte pieces must be complete and in order")
@@ -62,7 +72,8 @@ def pieces(spark: SparkSession, model_file: str) -> Pieces:
 def words_of(text: Column) -> Column:
     """Words of a text, in order."""
     marked = F.concat(F.lit(SPACE), F.translate(text, " ", SPACE))
-    return F.when(F.length(text) > 0, F.regexp_extract_all(marked, F.lit(WORD), F.lit(0)))
+    found = F.filter(F.regexp_extract_all(marked, F.lit(WORD), F.lit(0)), lambda w: w != "")
+    return F.when(F.length(text) > 0, found)
 
 
 def edges(words: DataFrame, model: Pieces) -> DataFrame:
@@ -75,35 +86,70 @@ def edges(words: DataFrame, model: Pieces) -> DataFrame:
 
 
 def fold(lattice: Column, length: Column) -> Column:
-    """Best segmentation ``(start, end, id)`` from the edges sorted by end and start."""
-    node = "struct<score:double,start:int,id:int>"
-    origin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("start"), F.lit(-1).alias("id")).cast(node))
-    none = F.array_repeat(F.struct(F.lit(float("-inf")).alias("score"), F.lit(0).alias("start"), F.lit(-1).alias("id")).cast(node), length)
-
-    def relax(best: Column, e: Column) -> Column:
-        score = F.get(best, e["start"])["score"] + e["score"]
-        new = F.struct(score.alias("score"), e["start"].alias("start"), e["id"].alias("id")).cast(node)
-        return F.when(score > F.get(best, e["end"])["score"], F.transform(best, lambda old, i: F.when(i == e["end"], new).otherwise(old))).otherwise(best)
+    """Best segmentation ``(start, end, id)`` from the edges sorted by end and start.
 
-    def back(best: Column) -> Column:
+    The state has the best last edge of every position up to the one before, and of the position now reached; an edge
+    that ends one further closes the latter. Every position has an edge that ends there, if only of one character.
+    """
+    node = "struct<score:double,start:int,id:int>"
+    state = f"struct<before:array<{node}>,now:{node},at:int>"
+    origin = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("start"), F.lit(-1).alias("id")).cast(node)
+    begin = F.struct(F.array().cast(f"array<{node}>").alias("before"), origin.alias("now"), F.lit(0).alias("at")).cast(state)
+
+    def relax(s: Column, e: Column) -> Column:
+        further = e["end"] > s["at"]
+        here = F.when(further & (e["start"] == s["at"]), s["now"]["score"]).otherwise(F.get(s["before"], e["start"])["score"])
+        new = F.struct((here + e["score"]).alias("score"), e["start"].alias("start"), e["id"].alias("id"))
+        closed = F.struct(F.concat(s["before"], F.array(s["now"])).alias("before"), new.alias("now"), e["end"].alias("at"))
+        better = F.struct(s["before"].alias("before"), new.alias("now"), s["at"].alias("at"))
+        return F.when(further, closed).when(here + e["score"] > s["now"]["score"], better).otherwise(s)
+
+    def back(s: Column) -> Column:
         path = "struct<at:int,done:array<struct<start:int,end:int,id:int>>>"
-        begin = F.struct(length.alias("at"), F.array().alias("done")).cast(path)
+        first = F.struct(length.alias("at"), F.array().alias("done")).cast(path)
 
         def step(acc: Column, at: Column) -> Column:
-            last = F.get(best, at)
+            last = F.when(at == s["at"], s["now"]).otherwise(F.get(s["before"], at))
             one = F.struct(last["start"].alias("start"), at.alias("end"), last["id"].alias("id"))
             return F.when(acc["at"] == at, F.struct(last["start"].alias("at"), F.concat(F.array(one), acc["done"]).alias("done")).cast(path)).otherwise(acc)
 
-        return F.aggregate(F.sequence(length, F.lit(1), F.lit(-1)), begin, step, lambda acc: acc["done"])
+        return F.aggregate(F.sequence(length, F.lit(1), F.lit(-1)), first, step, lambda acc: acc["done"])
+
+    return F.aggregate(lattice, begin, relax, back)
+
+
+def merge(lattice: Column, length: Column) -> Column:
+    """Segmentation ``(start, end, id)`` by merging, always the pair with the best score, the first among equals.
+
+    The state is the list of places where pieces meet. An edge can be merged if both its ends are such places and exactly
+    one lies between them.
+    """
+    wide = F.filter(lattice, lambda e: e["end"] - e["start"] > 1)
+
+    def step(state: Column, _: Column) -> Column:
+        at, left = state["at"], state["left"]
+        place = lambda x: F.array_position(at, x).cast("int")  # noqa: E731  of an end of a piece, from 1; so also the next one, from 0
+        fits = F.filter(left, lambda e: (F.get(at, place(e["start"]) + 1) == e["end"]) & (place(e["start"]) > 0))
+        best = F.array_max(F.transform(fits, lambda e: F.struct(e["score"].alias("score"), (-e["start"]).alias("minus"))))
+        # an array of one element names the best pair, which is then computed once
+        cut = F.get(F.transform(F.array(best), lambda b: F.when(b.isNull(), at).otherwise(F.array_remove(at, F.get(at, place(-b["minus"]))))), F.lit(0))
+        return F.struct(cut.alias("at"), left.alias("left"))
+
+    def read(state: Column) -> Column:
+        at = state["at"]
+        return F.filter(lattice, lambda e: F.get(at, F.array_position(at, e["start"]).cast("int")) == e["end"])
 
-    return F.aggregate(lattice, F.concat(origin, none), relax, back)
+    start = F.struct(F.sequence(F.lit(0), length).alias("at"), wide.alias("left"))
+    return F.aggregate(F.sequence(F.lit(1), length), start, step, lambda s: F.filter(read(s), lambda e: F.array_contains(s["at"], e["start"])))
 
 
-def encode_words(words: DataFrame, model: Pieces) -> DataFrame:
-    """Adds ``ids`` to distinct words (column ``word``; other columns stay)."""
+def encode_words(words: DataFrame, model: Pieces, merges: bool = False) -> DataFrame:
+    """Adds ``ids`` to distinct words (column ``word``; other columns stay), and ``merged_ids`` if asked for."""
     keys = words.columns
-    gathered = edges(words, model).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("end", "start", "score", "id"))).alias("lattice"))
+    gathered = edges(words, model).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("end", "start", "score", "id"))).alias("lattice"))
     best = gathered.withColumn("path", fold(F.col("lattice"), F.length("word")))
+    if merges:
+        best = best.withColumn("merged", merge(F.col("lattice"), F.length("word")))
 
     def ids_of(p: Column) -> Column:
         # two hex digits for each byte of the unknown character
@@ -111,13 +157,14 @@ def encode_words(words: DataFrame, model: Pieces) -> DataFrame:
         spelt = F.transform(F.sequence(F.lit(1), F.length(raw) - 1, F.lit(2)), lambda i: F.conv(F.substring(raw, i, F.lit(2)), 16, 10).cast("int") + model.first_byte)
         return F.when(p["id"] == model.unknown, spelt).otherwise(F.array(p["id"]))
 
-    return best.select(*keys, F.flatten(F.transform("path", ids_of)).alias("ids"))
+    more = [F.flatten(F.transform("merged", ids_of)).alias("merged_ids")] if merges else []
+    return best.select(*keys, F.flatten(F.transform("path", ids_of)).alias("ids"), *more)
 
 
 def decode(rows: DataFrame, model: Pieces, keys: list[str], ids: str = "ids") -> DataFrame:
     """``keys, decoded``: the marked text of each row's ids; :func:`unmarked` gives the text. ``keys`` are unique."""
     flat = rows.select(*keys, F.posexplode(ids).alias("i", "id")).join(F.broadcast(model.spell), "id")
-    joined = flat.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("i", "hex"))).alias("h"))
+    joined = flat.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("i", "hex"))).alias("h"))
     return joined.select(*keys, F.decode(F.unhex(F.array_join(F.col("h.hex"), "")), "UTF-8").alias("decoded"))
 
 
@@ -131,11 +178,11 @@ def vocabulary(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(F.explode(words_of(F.col(text))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def encode_documents(docs: DataFrame, model: Pieces, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, model: Pieces, key: str = "doc_id", text: str = "text", merges: bool = False) -> DataFrame:
     """``key, ids`` per document. Shuffles every occurrence of a word twice; ``key`` is unique."""
-    known = stored(encode_words(vocabulary(docs, text), model)).select("word", "ids")
+    known = stored(encode_words(vocabulary(docs, text), model, merges)).select("word", F.col("merged_ids" if merges else "ids").alias("ids"))
     said = docs.select(key, F.posexplode_outer(words_of(F.col(text))).alias("i", "word"))
     # rows without words go past the join
-    joined = said.where("word is not null").join(known, "word").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", "ids"))).alias("w"))
+    joined = said.where("word is not null").join(known, "word").groupBy(key).agg(F.sort_array(F.collect_list(F.struct("i", "ids"))).alias("w"))
     empty = said.where("word is null").select(key, F.array().cast("array<int>").alias("ids"))
     return joined.select(key, F.flatten(F.col("w.ids")).alias("ids")).unionByName(empty)

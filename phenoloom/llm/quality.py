@@ -184,9 +184,9 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     rows = facts.where("not base_failed").select(F.explode(F.array("grp", F.lit("all"))).alias("grp"), "x")
     found = minimum_covariance(rows)
     each = found.where((F.col("rows") >= FEWEST_ROWS) & (F.col("grp") != "all"))
-    whole = found.where("grp = 'all'").select(F.col("centre").alias("c0"), F.col("inverse").alias("i0"))
-    # one row, or none if there is nothing to judge
-    both = facts.join(small(each.drop("rows")), "grp", "left").join(F.broadcast(whole), F.lit(True), "left")
-    both = both.withColumn("centre", F.coalesce("centre", "c0")).withColumn("inverse", F.coalesce("inverse", "i0"))
+    whole = found.where("grp = 'all'").first()  # one row, or none if there is nothing to judge
+    doubles = lambda xs: F.array(*map(F.lit, xs)) if whole else F.lit(None).cast("array<double>")
+    both = facts.join(small(each.drop("rows")), "grp", "left")
+    both = both.withColumn("centre", F.coalesce("centre", doubles(whole and whole["centre"]))).withColumn("inverse", F.coalesce("inverse", doubles(whole and whole["inverse"])))
     judged = both.withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     return judged.select(key, *COUNTS, "base_failed", "distance", (~F.col("base_failed") & (F.col("distance") <= chi2_cut(chance, P))).alias("kept"))

@@ -214,7 +214,7 @@ def pack(pieces: DataFrame, key: str = "doc_id", capacity: int = CAPACITY) -> Da
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # one row per length, at most capacity
     table = cut.sparkSession.sparkContext.broadcast(places(minimum_bin_slack(counts, capacity)))
     who = F.concat_ws("|", F.col(key).cast("string"), F.col("piece"), F.col("ids_crc32"))
-    ranked = hashed_rank(cut, who, "pack", by=["length"], out="_rank")
+    ranked = hashed_rank(cut, who, "pack", by=["length"], out="_rank", digits=2)
 
     def look_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = table.value

@@ -282,7 +282,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             for part in (batch.slice(i, 250) for i in range(0, batch.num_rows, 250)):
                 words, spelt, counts = mine.read(part.column(1).to_pylist())
                 each = mine.log_probabilities(words, mine.context(words, counts)) + spelt
-                sums = np.bincount(np.repeat(np.arange(len(counts)), counts), each, len(counts))
+                sums = np.bincount(np.repeat(np.arange(len(counts)), counts), each, len(counts)).astype(np.float64)
                 mean = pa.array(sums / np.maximum(counts, 1), mask=counts == 0)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), pa.array(sums), mean], names=[key, "n_words", "log_prob", "mean_log_prob"])
 

@@ -38,7 +38,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternating large and small stars: each round hangs the neighbours of a node on its smallest neighbour, first the
     larger ones, then the smaller ones. Edges never grow in number, no node's neighbours are gathered, and each round
-    is written to the shared folder. Ends when a round changes nothing.
+    is written to the shared folder. The minima are written too: a join of two plain inputs is one that Spark splits
+    where a node has very many edges. Ends when a round changes nothing.
     """
     now = stored(
         edges.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("u")).where("u <> v").distinct()
@@ -46,9 +47,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     seen = None
     while True:
         both = now.select("v", "u").unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        low = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
+        low = stored(both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m")))
         large = both.join(low, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
-        low = large.groupBy("v").agg(F.min("u").alias("m"))
+        large = stored(large)
+        low = stored(large.groupBy("v").agg(F.min("u").alias("m")))
         star = large.join(low, "v")
         hung = star.where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
         now = stored(hung.unionByName(low.select("v", F.col("m").alias("u"))).distinct())

@@ -83,9 +83,10 @@ def correlation_test(df: DataFrame, a: str, b: str) -> DataFrame:
 def anova(cells: DataFrame, outcome: str = "outcome") -> DataFrame:
     """One-way analysis of variance per feature, for any number of classes.
 
-    First pass by (feature, class), then a combination of the class rows; the class sizes never meet raw rows.
+    First pass by (feature, class). The class rows are then summed, and joined once more to the feature's mean for the
+    spread between classes; a feature's classes are never gathered in one row, so a label may have any number of levels.
     """
-    groups = (
+    groups = materialise(
         cells.where(F.col("value").isNotNull() & F.col(outcome).isNotNull())
         .groupBy("feature", outcome)
         .agg(F.count("*").alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("v"))
@@ -97,9 +98,11 @@ def anova(cells: DataFrame, outcome: str = "outcome") -> DataFrame:
         k.alias("k"),
         F.sum(F.col("n") * F.col("v")).alias("ssw"),
         (weighted / total).alias("mean"),
-        F.collect_list(F.struct("n", "m")).alias("g"),
     )
-    ssb = F.aggregate("g", F.lit(0.0), lambda acc, x: acc + x["n"] * (x["m"] - F.col("mean")) * (x["m"] - F.col("mean")))
+    off = F.col("m") - F.col("mean")
+    between = groups.select("feature", F.col("n").alias("_n"), "m").join(per.select("feature", "mean"), "feature")
+    per = per.join(between.groupBy("feature").agg(F.sum(F.col("_n") * off * off).alias("ssb")), "feature")
+    ssb = F.col("ssb")
     d1, d2 = (F.col("k") - 1).cast("double"), (F.col("n") - F.col("k")).cast("double")
     scored = per.select("feature", "n", d1.alias("d1"), d2.alias("d2"), (ssb / d1 / (F.col("ssw") / d2)).alias("f_score"))
     return scored.select("feature", "n", "f_score", f_p("f_score", "d1", "d2").alias("p_value"))
@@ -234,6 +237,7 @@ def associate_adjusted(
         F.lit(None).cast("double").alias("ci_upper"),
         "pearson_r",
         "p_value",
+        "converged",
     )
     return with_flags(adjust_fdr(out), alpha, p_threshold)
 
@@ -328,12 +332,17 @@ def top_by_p(results: DataFrame, n: int) -> DataFrame:
     return results.orderBy(F.col("p_value").asc_nulls_last(), "feature").limit(n)
 
 
-def select_by_strategy(results: DataFrame, strategy: str = "fdr_significant", max_features: int = MAX_SELECTED) -> DataFrame:
-    """Features by FDR flag, by nominal flag, or the first by p-value; the cap keeps the smallest p-values."""
+def select_by_strategy(results: DataFrame, strategy: str = "fdr_significant", max_features: int | None = None, top_n: int = MAX_SELECTED) -> DataFrame:
+    """Features by FDR flag, by nominal flag, or the first ``top_n`` by p-value.
+
+    All flagged features are kept unless ``max_features`` is given; it keeps the smallest p-values.
+    """
     if strategy not in ("fdr_significant", "nominal_significant", "top_n"):
         raise ValueError(f"invalid selection strategy {strategy!r}")
-    pool = results if strategy == "top_n" else results.where(F.col(strategy))
-    return top_by_p(pool, max_features)
+    if strategy == "top_n":
+        return top_by_p(results, top_n if max_features is None else max_features)
+    hits = results.where(F.col(strategy))
+    return hits if max_features is None else top_by_p(hits, max_features)
 
 
 def select_with_fallback(

@@ -32,6 +32,9 @@ SEVERE_IMBALANCE = 10.0
 
 # --- columns ---------------------------------------------------------------------------------------------------------
 
+#: Levels of the outcome that the report on prepared tables shows, most frequent first.
+SHOWN_LEVELS = 1000
+
 
 def find_covariates(columns: Sequence[str]) -> dict[str, str]:
     """Canonical covariate name to the column that carries it: exact spelling first, then any case."""
@@ -352,7 +355,11 @@ def prepare(
     )
 
     def levels(p: DataFrame) -> dict:
-        return {r["level"]: r["n"] for r in target_distribution(p, outcome).collect()} if outcome in p.columns else {}
+        """The most frequent levels; a continuous outcome has as many as rows, and those stay in the table."""
+        if outcome not in p.columns:
+            return {}
+        shown = target_distribution(p, outcome).orderBy(F.desc("n"), "level").limit(SHOWN_LEVELS)
+        return {r["level"]: r["n"] for r in shown.collect()}
 
     out.info |= {
         "train_samples": out.train.count(),

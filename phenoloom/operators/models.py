@@ -9,7 +9,7 @@ from __future__ import annotations
 import itertools
 import math
 import warnings
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -120,14 +120,18 @@ class RandomFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         gamma, size, seed = (self.getOrDefault(p) for p in (self.gamma, self.size, self.seed))
 
         @F.pandas_udf(ArrayType(DoubleType()))
-        def lift(x: pd.Series) -> pd.Series:
-            if not len(x):
-                return pd.Series([], dtype=object)
-            m = np.stack(x.to_numpy())
-            rng = np.random.default_rng(seed)
-            w = rng.normal(scale=math.sqrt(2.0 * gamma), size=(m.shape[1], size))
-            b = rng.uniform(0, 2 * math.pi, size)
-            return pd.Series(list(math.sqrt(2.0 / size) * np.cos(m @ w + b)))
+        def lift(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            w = b = None
+            for x in batches:
+                if not len(x):
+                    yield pd.Series([], dtype=object)
+                    continue
+                m = np.stack(x.to_numpy())
+                if w is None:
+                    rng = np.random.default_rng(seed)
+                    w = rng.normal(scale=math.sqrt(2.0 * gamma), size=(m.shape[1], size))
+                    b = rng.uniform(0, 2 * math.pi, size)
+                yield pd.Series(list(math.sqrt(2.0 / size) * np.cos(m @ w + b)))
 
         return dataset.withColumn("kernel_features", array_to_vector(lift(vector_to_array(self.getOrDefault(self.source)))))
 
@@ -466,7 +470,10 @@ def grid_search(
                 records.append({"params": params, "mean": None if i in errors else m, "sd": s, "error": errors.get(i)})
     finally:
         folded.unpersist()
-    best = max((r for r in records if r["mean"] is not None), key=lambda r: r["mean"])
+    scored = [r for r in records if r["mean"] is not None]
+    if not scored:
+        raise ValueError(f"no setting of {model!r} could be scored: {[(r['params'], r['error']) for r in records]}")
+    best = max(scored, key=lambda r: r["mean"])
     return best["params"], records
 
 

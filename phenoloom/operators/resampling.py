@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from phenoloom.operators.ordered import hashed_rank
 from phenoloom.operators.shape import cells_from_arrays
+from phenoloom.session import materialise, small_side
 
 #: A class table larger than this is taken for a mistake (a continuous outcome) and refused.
 MAX_CLASSES = 1000
@@ -67,7 +68,10 @@ def training_part(df: DataFrame, fold: int) -> DataFrame:
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
-    """Rows per class, on the driver; more than ``MAX_CLASSES`` levels are refused."""
+    """Rows per class, on the driver, for fits that need them as numbers; more than ``MAX_CLASSES`` levels are refused.
+
+    Weights for any number of classes: :func:`with_class_weights`.
+    """
     rows = df.where(F.col(label).isNotNull()).groupBy(label).count().limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"{label!r} has more than {MAX_CLASSES} levels")
@@ -84,7 +88,11 @@ def balanced_weight(label: Column, counts: dict) -> Column:
 
 
 def with_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    return df.withColumn(out, balanced_weight(F.col(label), class_counts(df, label)))
+    """``n / (k * n_class)`` joined to every row, for any number of classes; null without a label."""
+    sizes = materialise(df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("_level")).agg(F.count("*").alias("_n")))
+    whole = sizes.agg(F.sum("_n").alias("n"), F.count("*").alias("k")).first()
+    weights = small_side(sizes.select("_level", (F.lit(whole["n"]) / (F.lit(whole["k"]) * F.col("_n"))).alias(out)))
+    return df.join(weights, F.col(label) == F.col("_level"), "left").drop("_level")
 
 
 def rose(

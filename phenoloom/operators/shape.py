@@ -21,6 +21,13 @@ def finite(value):
     return F.when(F.abs(value) < float("inf"), value)
 
 
+def name_literal(names: Sequence[str]):
+    """The names as one string literal that is split again, so that a plan has one size for any number of them."""
+    if any("\x1f" in n for n in names):
+        raise ValueError("a feature name holds the unit separator")
+    return F.split(F.lit("\x1f".join(names)), "\x1f") if names else F.array().cast("array<string>")
+
+
 def cells_from_wide(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Unpivot numeric columns into cells. For a few hundred columns at most; import wider files as arrays."""
     typed = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in features])
@@ -33,7 +40,7 @@ def cells_from_arrays(df: DataFrame, names: Sequence[str], keep: Sequence[str],
     The outer form, less its empty rows: for the inner one Catalyst infers a filter on the array, which makes it compute
     a derived array twice.
     """
-    labels = F.array(*[F.lit(n) for n in names])
+    labels = name_literal(names)
     return df.select(*keep, F.posexplode_outer(col).alias("_pos", "value")).where(F.col("_pos").isNotNull()).select(
         *keep, F.get(labels, F.col("_pos")).alias("feature"), F.col("value").cast("double").alias("value")
     )
@@ -57,15 +64,16 @@ def arrays_from_cells(cells: DataFrame, names: Sequence[str], keep: Sequence[str
 
     A group holds one sample, at most ``len(names)`` cells.
     """
-    wanted = cells.where(F.col("feature").isin(list(names)))
+    wanted = cells.where(F.array_contains(name_literal(names), F.col("feature")))
     grouped = wanted.groupBy(*keep).agg(F.map_from_entries(F.collect_list(F.struct("feature", "value"))).alias("_m"))
-    return grouped.select(*keep, F.transform(F.array(*[F.lit(n) for n in names]), lambda n: F.col("_m")[n]).alias("features"))
+    return grouped.select(*keep, F.transform(name_literal(names), lambda n: F.col("_m")[n]).alias("features"))
 
 
 def slice_arrays(df: DataFrame, names: Sequence[str], wanted: Sequence[str], col: str = "features") -> DataFrame:
     """Keep the named features, in the order asked for. Narrow."""
     place = {n: i for i, n in enumerate(names)}
-    return df.withColumn(col, F.array(*[F.get(col, F.lit(place[n])) for n in wanted]))
+    at = F.split(F.lit(",".join(str(place[n]) for n in wanted)), ",").cast("array<int>")
+    return df.withColumn(col, F.transform(at, lambda i: F.get(F.col(col), i)) if wanted else F.slice(col, 1, 0))
 
 
 def vectors(df: DataFrame, col: str = "features") -> DataFrame:

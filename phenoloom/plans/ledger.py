@@ -23,9 +23,23 @@ def params_hash(params: dict) -> str:
     return hashlib.md5(json.dumps(params, sort_keys=True, default=str).encode()).hexdigest()
 
 
+class _Folder:
+    """A folder in any file system that Spark reads."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self._fs = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return bool(self._fs.exists(self._path))
+
+    def delete(self) -> None:
+        self._fs.delete(self._path, True)
+
+
 class Run:
     """The steps of one run under ``root``. Step tables and ledger are parquet in shared storage; every save gets a new
-    path, so a reader never sees a half-written step, and a deletion is one more ledger row."""
+    path, so a reader never sees a half-written step. A deletion removes the step's files and is one more ledger row."""
 
     def __init__(self, spark: SparkSession, root: str, run_id: str) -> None:
         self.spark, self.root, self.run_id = spark, root.rstrip("/"), run_id
@@ -100,12 +114,19 @@ class Run:
         return self.spark.read.parquet(row["path"])
 
     def delete(self, step: str) -> None:
-        """Forget a step. Its files stay until the folder is cleaned up."""
+        """Forget a step and remove the files of all its versions, wherever the run is stored."""
         if not self.exists(step):
             raise FileNotFoundError(f"no step {step!r} in run {self.run_id!r}")
+        self._folder(step).delete()
         now = datetime.fromtimestamp(time.time(), timezone.utc)
         self._append(step=step, started=now, ended=now, elapsed_s=0.0, deleted=True)
 
+    def _folder(self, step: str) -> _Folder:
+        return _Folder(self.spark, f"{self.root}/{self.run_id}/{step}")
+
+    def has_files(self, step: str) -> bool:
+        return self._folder(step).exists()
+
     def step(self, name: str, params: dict, make: Callable[[], DataFrame], description: str = "") -> DataFrame:
         """The stored table of a step if it was made with the same parameters, else make and store it."""
         row = self.info(name)

@@ -327,13 +327,13 @@ _LOGIT = _LOGIT_CELLS.replace("cells AS (", "cells0 AS (") + (
 
 @query(
     "logit_by_feature",
-    f"WITH {sql_newton(_LOGIT, 10)} SELECT feature, round(b, 5) AS coefficient, round(exp(b), 5) AS odds_ratio FROM b10",
+    f"WITH {sql_newton(_LOGIT, 10)} SELECT feature, round(b, 5) AS coefficient, round(exp(b), 5) AS odds_ratio, true AS converged FROM b10",
 )
 def logit_by_feature(spark, sf):
     c = K.vectors(spark, sf, 1)
     matrix = c.joined().withColumn("z", F.pmod("sample_id", F.lit(7)) / 7.0)
     out = A.associate_adjusted(matrix, c.names, ["z"])
-    return out.select("feature", r("effect", 5).alias("coefficient"), r("odds_ratio", 5).alias("odds_ratio"))
+    return out.select("feature", r("effect", 5).alias("coefficient"), r("odds_ratio", 5).alias("odds_ratio"), "converged")
 
 
 # --- importance tables -----------------------------------------------------------------------------------------------

@@ -401,6 +401,21 @@ def integrity_check(spark, sf):
     return run.check().select("step", "valid", F.col("rows_found").alias("rows"))
 
 
+@query(
+    "step_delete",
+    "SELECT 'kept' AS step, true AS listed, true AS files, count(*) AS rows FROM nation UNION ALL SELECT 'dropped', false, false, CAST(NULL AS BIGINT)",
+)
+def step_delete(spark, sf):
+    """One of two stored steps is deleted: it is neither listed nor on disk, the other is both."""
+    run = L.Run(spark, scratch(spark), "r1")
+    for step, name in (("kept", "nation"), ("dropped", "region")):
+        run.save(K.table(spark, sf, name), step=step)
+    run.delete("dropped")
+    facts = [(step, run.exists(step), run.has_files(step)) for step in ("kept", "dropped")]
+    asked = spark.createDataFrame(facts, "step string, listed boolean, files boolean")
+    return asked.join(run.load("kept").agg(F.lit("kept").alias("step"), F.count("*").alias("rows")), "step", "left").select("step", "listed", "files", "rows")
+
+
 @query(
     "run_summary",
     "SELECT 'performance' AS section, 'orders' AS step, o_orderstatus AS key, CAST(count(*) AS VARCHAR) AS value FROM orders GROUP BY 3"

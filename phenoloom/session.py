@@ -7,8 +7,9 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows a join side may have to be sent to every executor. Beyond it the join stays a shuffle join.
+#: Rows and bytes (as text) a join side may have to be sent to every executor. Beyond them the join stays a shuffle join.
 BROADCAST_ROW_LIMIT = 200_000
+BROADCAST_BYTE_LIMIT = 64 << 20
 
 
 def local_session(cores: str = "*", app: str = "phenoloom", shuffle_partitions: int = 8) -> SparkSession:
@@ -57,8 +58,10 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only after counting the (already materialised) table; otherwise leave a shuffle join."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    """Hint a broadcast only after counting rows and bytes of the (already materialised) table; else leave a shuffle join."""
+    size = F.sum(F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))).alias("bytes")
+    seen = df.limit(limit + 1).agg(F.count("*").alias("rows"), size).first()
+    return F.broadcast(df) if seen["rows"] <= limit and (seen["bytes"] or 0) <= BROADCAST_BYTE_LIMIT else df
 
 
 def ordered_slices(spark: SparkSession) -> int:

@@ -170,8 +170,9 @@ def test_ledger(spark, tmp_path):
         assert run.step("a", params, make).count() == 5
     assert len(made) == 2 and run.exists("a")
     assert run.check().first()["valid"] and run.timing().first()["share"] == pytest.approx(100)
+    assert run.has_files("a")
     run.delete("a")
-    assert not run.exists("a")
+    assert not run.exists("a") and not run.has_files("a")
 
 
 def test_study_resumes(spark, frame, tmp_path):

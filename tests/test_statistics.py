@@ -8,7 +8,7 @@ from phenoloom.functions import special as S
 from phenoloom.operators import association as A
 from phenoloom.operators import evaluation as E
 from phenoloom.operators import resampling as R
-from phenoloom.operators.shape import arrays_from_wide
+from phenoloom.operators.shape import arrays_from_cells, arrays_from_wide, cells_from_arrays, slice_arrays
 from phenoloom.plans import cohorts as K
 from phenoloom.plans.queries_assoc import pearson_flags
 
@@ -94,6 +94,67 @@ def test_selection_rules(spark):
         A.select_by_strategy(t, "best")
 
 
+def test_no_cap_unless_asked(spark):
+    t = spark.range(500).selectExpr("concat('f', id) AS feature", "id / 1e6 AS p_value", "id < 450 AS fdr_significant", "true AS nominal_significant")
+    assert A.select_by_strategy(t).count() == 450
+    assert A.select_by_strategy(t, "nominal_significant", 20).count() == 20
+    assert A.select_by_strategy(t, "top_n").count() == A.MAX_SELECTED
+
+
+def test_anova_with_many_classes(spark):
+    df = spark.range(6000).selectExpr("'f' AS feature", "id % 1500 AS outcome", "(id % 1500) * 1.0 + (id div 1500) AS value")
+    row = A.anova(df).first()
+    # four values 0..3 about each of 1500 class levels
+    ssw, ssb = 1500 * 5.0, 4.0 * sum((c - 749.5) ** 2 for c in range(1500))
+    assert row["f_score"] == pytest.approx((ssb / 1499) / (ssw / 4500))
+
+
+def test_weights_for_any_number_of_classes(spark):
+    df = spark.range(6000).selectExpr("id", "if(id < 3000, id, NULL) AS outcome")
+    out = R.with_class_weights(df, "outcome")
+    assert out.where("weight = 1.0").count() == 3000 and out.where("weight IS NULL").count() == 3000
+
+
+def test_plan_size_does_not_grow_with_names(spark):
+    sizes = []
+    for n in (50, 5000):
+        names = [f"f{i}" for i in range(n)]
+        df = spark.range(1).select("id", F.array_repeat(F.lit(1.0), n).alias("features"))
+        sliced = slice_arrays(df, names, names[::-1])
+        assert sliced.first()["features"] == [1.0] * n
+        plan = arrays_from_cells(cells_from_arrays(sliced, names, ["id"]), names, ["id"])._jdf.queryExecution().analyzed()
+        sizes.append(plan.toString().count("lambda"))
+        assert cells_from_arrays(sliced, names, ["id"]).where("feature = 'f7'").count() == 1
+    assert sizes[0] == sizes[1]
+
+
+def test_broadcast_is_checked_by_rows_and_bytes(spark, monkeypatch):
+    import phenoloom.session as S
+
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    df = spark.range(100).withColumn("x", F.repeat(F.lit("y"), 1000))
+    assert hinted(S.small_side(df)) and not hinted(S.small_side(df, 99))
+    monkeypatch.setattr(S, "BROADCAST_BYTE_LIMIT", 50_000)
+    assert not hinted(S.small_side(df))
+
+
+def test_shared_folder_is_required_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from phenoloom.session import runs_in_one_process, shared_folder
+
+    def session(master, named=None):
+        made = []
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: made[-1] if made else None, setCheckpointDir=made.append)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default=None: named))
+
+    for master in ("yarn", "spark://h:7077", "k8s://h", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_folder(session(master))
+        assert shared_folder(session(master, "hdfs://x/y")) == "hdfs://x/y"
+    assert runs_in_one_process("local") and runs_in_one_process("local[4]") and shared_folder(session("local[4]"))
+
+
 def test_empty_summary(spark):
     t = spark.createDataFrame(
         [], "feature string, p_value double, effect double, fdr_significant boolean, pass_bonf boolean, nominal_significant boolean"

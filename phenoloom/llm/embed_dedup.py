@@ -114,8 +114,9 @@ class Index:
 
 
 def fit(vectors: DataFrame, rows: int, cosine: float = COSINE, target: float = TARGET, sample: int = SAMPLE) -> Index | None:
-    """Fit on at most ``sample`` of the stored unit vectors ``v``, in hash order; all rows are indexed later."""
-    some = vectors.select("v").orderBy(F.xxhash64("v"), "v").limit(sample).collect()
+    """Fit on at most ``sample`` of the stored unit vectors ``v``, in the order of a hash of key and vector, so that copies of
+    one vector do not fill it; all rows are indexed later."""
+    some = vectors.select("key", "v").orderBy(F.xxhash64("key", "v"), "v").limit(sample).collect()
     if not some:
         return None
     points = np.stack([np.frombuffer(r["v"], np.float64) for r in some])

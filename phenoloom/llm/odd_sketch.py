@@ -167,7 +167,6 @@ class SetIndex:
     def common(self, one: np.ndarray) -> np.ndarray:
         """Size of the intersection of ``one`` with each set."""
         at = np.searchsorted(self.values, one)
-        at = at[at < len(self.values)] if len(one) and not len(self.values) else at
         ok = at < len(self.values)
         at, one = at[ok], one[ok]
         at = at[self.values[at] == one]

@@ -42,9 +42,20 @@ SHAPES = {
 }
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(-1, keepdims=True))
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """In place."""
+    x -= x.max(-1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(-1, keepdims=True)
+    return x
+
+
+def _log_share(x: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """Logarithm of the softmax at one column per row; ``x`` is used up."""
+    x -= x.max(-1, keepdims=True)
+    own = x[np.arange(len(x)), picked]
+    np.exp(x, out=x)
+    return own - np.log(x.sum(-1))
 
 
 class Model:
@@ -77,13 +88,15 @@ class Model:
         return self.words[at], self.spelt[at], counts
 
     @staticmethod
-    def context(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """The classes around each word, place by word; beyond a text's ends is the edge."""
+    def context(words: np.ndarray, counts: np.ndarray, some: np.ndarray | None = None) -> np.ndarray:
+        """The classes around each word, or around some, place by word; beyond a text's ends is the edge."""
         wide = max(map(abs, AROUND))
         shift = np.repeat(np.arange(len(counts)), counts) * wide + wide
         at = np.arange(len(words)) + shift
         padded = np.full(len(words) + wide * (len(counts) + 1), EDGE)
         padded[at] = words
+        if some is not None:
+            at = at[some]
         return np.stack([padded[at + o] for o in AROUND])
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
@@ -98,12 +111,12 @@ class Model:
         for i in range(0, len(words), 65_536):
             these = words[i : i + 65_536]
             h, cluster = self.hidden(context[:, i : i + 65_536]), these // IN_CLUSTER
-            part = _log_softmax(h @ w["cluster"] + w["cluster_bias"])[np.arange(len(these)), cluster].astype(np.float64)
+            part = _log_share(h @ w["cluster"] + w["cluster_bias"], cluster).astype(np.float64)
             order = np.argsort(cluster, kind="stable")
             for rows in np.split(order, np.searchsorted(cluster[order], np.arange(1, CLUSTERS))):
                 if len(rows):
                     c = cluster[rows[0]]
-                    part[rows] += _log_softmax(h[rows] @ w["word"][c].T + w["word_bias"][c])[np.arange(len(rows)), these[rows] % IN_CLUSTER]
+                    part[rows] += _log_share(h[rows] @ w["word"][c].T + w["word_bias"][c], these[rows] % IN_CLUSTER)
             out[i : i + 65_536] = part
         return out
 
@@ -112,7 +125,7 @@ class Model:
         w, n = self.weights, len(words)
         out = {k: np.zeros_like(v) for k, v in w.items()}
         h, cluster = self.hidden(context), words // IN_CLUSTER
-        d = np.exp(_log_softmax(h @ w["cluster"] + w["cluster_bias"]))
+        d = _softmax(h @ w["cluster"] + w["cluster_bias"])
         d[np.arange(n), cluster] -= 1
         d /= n
         out["cluster"], out["cluster_bias"] = h.T @ d, d.sum(0)
@@ -121,7 +134,7 @@ class Model:
         for rows in np.split(order, np.searchsorted(cluster[order], np.arange(1, CLUSTERS))):
             if len(rows):
                 c, mine = cluster[rows[0]], h[rows]
-                e = np.exp(_log_softmax(mine @ w["word"][c].T + w["word_bias"][c]))
+                e = _softmax(mine @ w["word"][c].T + w["word_bias"][c])
                 e[np.arange(len(rows)), words[rows] % IN_CLUSTER] -= 1
                 e /= n
                 out["word"][c], out["word_bias"][c] = e.T @ mine, e.sum(0)
@@ -147,11 +160,11 @@ class Trainer:
             self.model.weights[k] -= RATE * g / np.sqrt(self.squares[k])
 
 
-def masked(texts: list[str | None], counts: np.ndarray, round_number: int) -> np.ndarray:
-    """Positions to train on: by a hash of the text, the position and the round."""
-    seeds = np.array([xxhash.xxh3_64_intdigest(x or "", seed=round_number) for x in texts], np.uint64)
+def masked(seeds: np.ndarray, counts: np.ndarray, round_number: int) -> np.ndarray:
+    """Positions to train on: by a hash of the text, the round and the position."""
     within = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-    return np.flatnonzero(mixed(np.repeat(seeds, counts) + within.astype(np.uint64)) % np.uint64(MASKED) == 0)
+    mine = mixed(seeds + np.uint64(round_number))
+    return np.flatnonzero(mixed(np.repeat(mine, counts) + within.astype(np.uint64)) % np.uint64(MASKED) == 0)
 
 
 def _flat(weights: dict[str, np.ndarray]) -> np.ndarray:
@@ -206,14 +219,47 @@ def start(docs: DataFrame, text: str = "text", seed: int = 11) -> Model:
     return model
 
 
-def improve(docs: DataFrame, model: Model, round_number: int, text: str = "text") -> Model:
-    """One round over all documents: train in each task, average the parameters."""
-    shipped = docs.sparkSession.sparkContext.broadcast((model.vocabulary, model.spelling, model.weights))
-    rows = docs.select(text)
+def read_words(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, n_words, words, spelt, seed``: classes of all words as bytes, the sum of their spelling, a hash of the text.
+
+    Stored, it lets every round and the scores read two bytes a word instead of the text.
+    """
+    shipped = docs.sparkSession.sparkContext.broadcast((model.vocabulary, model.spelling))
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = Model(*shipped.value, {})
+        for batch in batches:
+            for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
+                texts = part.column(1).to_pylist()
+                words, spelt, counts = mine.read(texts)
+                ends = 2 * np.cumsum(counts)
+                raw = words.astype("<u2").tobytes()
+                lists = [raw[a:b] for a, b in zip((ends - 2 * counts).tolist(), ends.tolist(), strict=True)]
+                sums = np.bincount(np.repeat(np.arange(len(counts)), counts), spelt, len(counts)).astype(np.float64)
+                seeds = np.array([xxhash.xxh3_64_intdigest(x or "") for x in texts], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(counts), pa.array(lists, pa.binary()), pa.array(sums), pa.array(seeds)], names=[key, "n_words", "words", "spelt", "seed"]
+                )
+
+    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_words bigint, words binary, spelt double, seed bigint")
+
+
+def _parts(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Small parts of batches of read words, with the classes end to end and the words of each text."""
+    for batch in batches:
+        for part in (batch.slice(i, rows) for i in range(0, batch.num_rows, rows)):
+            words = np.frombuffer(b"".join(part.column("words").to_pylist()), "<u2").astype(np.int64)
+            yield part, words, part.column("n_words").to_numpy()
+
+
+def improve(read: DataFrame, model: Model, round_number: int) -> Model:
+    """One round over all read texts: train in each task, average the parameters."""
+    shipped = read.sparkSession.sparkContext.broadcast(model.weights)
+    rows = read.select("n_words", "words", "seed")
 
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, spelling, weights = shipped.value
-        mine = Model(vocabulary, spelling, {k: v.copy() for k, v in weights.items()})
+        mine = Model([], np.zeros(257), {k: v.copy() for k, v in shipped.value.items()})
         trainer, kept_words, kept_context = Trainer(mine), [], []
         waiting = 0
 
@@ -225,16 +271,13 @@ def improve(docs: DataFrame, model: Model, round_number: int, text: str = "text"
             kept_words[:], kept_context[:] = [words[upto:]], [context[:, upto:]]
             return len(words) - upto
 
-        for batch in batches:
-            for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                texts = part.column(0).to_pylist()
-                words, _, counts = mine.read(texts)
-                some = masked(texts, counts, round_number)
-                kept_words.append(words[some])
-                kept_context.append(mine.context(words, counts)[:, some])
-                waiting += len(some)
-                if waiting >= 8 * STEP:
-                    waiting = work(False)
+        for part, words, counts in _parts(batches, 500):
+            some = masked(part.column("seed").to_numpy().view(np.uint64), counts, round_number)
+            kept_words.append(words[some])
+            kept_context.append(mine.context(words, counts, some))
+            waiting += len(some)
+            if waiting >= 8 * STEP:
+                waiting = work(False)
         if waiting:
             work(True)
         if trainer.seen:
@@ -253,8 +296,7 @@ def improve(docs: DataFrame, model: Model, round_number: int, text: str = "text"
         n = int(np.sum(table.column("n").to_numpy()))
         return pa.table({"slice": [table.column("slice")[0].as_py()], "n": [n], "v": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
-    tasks = rows.rdd.getNumPartitions()
-    lots = math.isqrt(tasks) + 1
+    lots = math.isqrt(rows.rdd.getNumPartitions()) + 1
     out = rows.mapInArrow(train, "slice bigint, task bigint, n bigint, v binary").withColumn("lot", F.col("task") % lots)
     first = out.groupBy("slice", "lot").applyInArrow(add, "slice bigint, n bigint, v binary")
     sums = first.groupBy("slice").applyInArrow(add, "slice bigint, n bigint, v binary").orderBy("slice").collect()  # one set of parameters
@@ -265,25 +307,41 @@ def improve(docs: DataFrame, model: Model, round_number: int, text: str = "text"
 
 
 def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Model:
+    from phenoloom.llm.frames import stored
+
     model = start(docs, text)
+    read = stored(read_words(docs.withColumn("_one", F.lit(0)), model, "_one", text))
     for k in range(rounds):
-        model = improve(docs, model, k, text)
+        model = improve(read, model, k)
     return model
 
 
-def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score_read(read: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     """``key, n_words, log_prob, mean_log_prob``: sums over every word of every text."""
-    shipped = docs.sparkSession.sparkContext.broadcast((model.vocabulary, model.spelling, model.weights))
-    kind = docs.schema[key].dataType.simpleString()
+    shipped = read.sparkSession.sparkContext.broadcast(model.weights)
+    kind = read.schema[key].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine = Model(*shipped.value)
-        for batch in batches:
-            for part in (batch.slice(i, 250) for i in range(0, batch.num_rows, 250)):
-                words, spelt, counts = mine.read(part.column(1).to_pylist())
-                each = mine.log_probabilities(words, mine.context(words, counts)) + spelt
-                sums = np.bincount(np.repeat(np.arange(len(counts)), counts), each, len(counts)).astype(np.float64)
-                mean = pa.array(sums / np.maximum(counts, 1), mask=counts == 0)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), pa.array(sums), mean], names=[key, "n_words", "log_prob", "mean_log_prob"])
-
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_words bigint, log_prob double, mean_log_prob double")
+        mine = Model([], np.zeros(257), shipped.value)
+        for part, words, counts in _parts(batches, 250):
+            each = mine.log_probabilities(words, mine.context(words, counts))
+            sums = np.bincount(np.repeat(np.arange(len(counts)), counts), each, len(counts)) + part.column("spelt").to_numpy()
+            mean = pa.array(sums / np.maximum(counts, 1), mask=counts == 0)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), pa.array(sums), mean], names=[key, "n_words", "log_prob", "mean_log_prob"])
+
+    return read.select(key, "n_words", "words", "spelt").mapInArrow(run, f"`{key}` {kind}, n_words bigint, log_prob double, mean_log_prob double")
+
+
+def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
+    return score_read(read_words(docs, model, key, text), model, key)
+
+
+def train_and_score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+    """Train on all documents and score them; their words are read once."""
+    from phenoloom.llm.frames import stored
+
+    model = start(docs, text)
+    read = stored(read_words(docs, model, key, text))
+    for k in range(rounds):
+        model = improve(read, model, k)
+    return score_read(read, model, key)

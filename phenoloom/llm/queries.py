@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenoloom.llm import embed_dedup, language_id, lm_scoring, odd_sketch, packing, piece_lattice, quality, sharding, substring_dedup, url_templates
+from phenoloom.llm import embed_dedup, language_id, lm_scoring, odd_sketch, packing, piece_lattice, quality, sharding, sql, substring_dedup, url_templates
 from phenoloom.llm.frames import stored
 from phenoloom.llm.registry import query
 from phenoloom.session import shared_folder
@@ -52,7 +52,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
-@query("op4_substring_dedup")
+@query("op4_substring_dedup", sql.SUBSTRING_DEDUP)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.sha2(F.coalesce("kept_text", F.lit("")), 256)
@@ -65,7 +65,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
-@query("op10_odd_sketch")
+@query("op10_odd_sketch", sql.NEAR_DEDUP)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -83,15 +83,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-@query("op8_inverted_multi_index")
+@query("op8_inverted_multi_index", sql.VECTORS)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
 @query("op6_lm_scoring")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return lm_scoring.score(docs, lm_scoring.train(docs))
+    return lm_scoring.train_and_score(table(spark, sf_dir, "documents"))
 
 
 @query("op3_piece_lattice")

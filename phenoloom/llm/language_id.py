@@ -19,11 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from phenoloom.llm.words import release
+
 #: Bounds of the training sample: distinct texts, and distinct words of those with their language.
 SAMPLE_TEXTS, SAMPLE_WORDS = 4000, 30_000
 HIDDEN, LONGEST, EPOCHS, BATCH, RATE = 12, 24, 8, 512, 0.01
 #: Words that a task remembers, and words run through the network at once.
-REMEMBERED, AT_ONCE = 400_000, 4096
+REMEMBERED, AT_ONCE = 250_000, 4096
 NO_LANGUAGE = "und"
 
 
@@ -229,5 +231,7 @@ def predict(docs: DataFrame, network: Network, key: str = "doc_id", text: str =
                         if x and any(map(str.isalpha, x)):
                             names[i], scores[i] = languages[best[i]], min(1.0, float(mean[i, best[i]]))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(scores)], names=[key, "lang_pred", "score"])
+        del labels
+        release()
 
     return docs.select(key, text).mapInArrow(label, f"`{key}` {kind}, lang_pred string, score double")

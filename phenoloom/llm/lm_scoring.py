@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenoloom.llm.words import mixed
+from phenoloom.llm.words import mixed, release
 
 CLUSTERS, IN_CLUSTER, HIDDEN = 64, 64, 16
 #: Word classes; the last is every other word. One more row stands for the text's edge.
@@ -35,7 +35,7 @@ OTHER, EDGE = CLASSES - 1, CLASSES
 AROUND = (-2, -1, 1, 2)
 #: One position in so many is masked for training; passes over the corpus; positions in a step; step size.
 MASKED, ROUNDS, STEP, RATE = 10, 2, 1024, 0.1
-REMEMBERED, SLICES = 400_000, 32
+REMEMBERED, SLICES = 250_000, 32
 SHAPES = {
     "around": (len(AROUND), CLASSES + 1, HIDDEN), "bias": (HIDDEN,), "cluster": (HIDDEN, CLUSTERS), "cluster_bias": (CLUSTERS,),
     "word": (CLUSTERS, IN_CLUSTER, HIDDEN), "word_bias": (CLUSTERS, IN_CLUSTER),
@@ -241,6 +241,8 @@ def read_words(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(counts), pa.array(lists, pa.binary()), pa.array(sums), pa.array(seeds)], names=[key, "n_words", "words", "spelt", "seed"]
                 )
+        del mine
+        release()
 
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_words bigint, words binary, spelt double, seed bigint")
 

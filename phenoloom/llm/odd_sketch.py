@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenoloom.llm.frames import components, small, stored
-from phenoloom.llm.words import WordHashes, Windows, inside, mixed
+from phenoloom.llm.words import REMEMBERED_WORDS, Windows, inside, mixed, release
 
 SHINGLE = 4
 #: Links need 100 * intersection >= PERCENT * union.
@@ -41,7 +41,6 @@ LEAST_ESTIMATE = PERCENT / 100 - 5 * (PERCENT / 100 * (1 - PERCENT / 100) / SAMP
 #: Largest bucket that is searched with sketches, largest block of classes searched at once, classes shared by blocks.
 BUCKET, BLOCK, SHARED = 4096, 2048, 64
 
-_memory = WordHashes()
 _draw = np.random.default_rng(20250131)
 _TIMES = _draw.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _PLUS = _draw.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
@@ -64,7 +63,7 @@ def shingle_sets(texts: list[str | None], width: int = SHINGLE) -> tuple[np.ndar
         words += mine
         if 0 < len(mine) < width:
             short.append((i, xxhash.xxh3_64_intdigest(b" ".join(mine), seed=len(mine))))
-    flat = _memory.of(words)
+    flat = REMEMBERED_WORDS.of(words)
     starts = np.flatnonzero(inside(lengths, width))
     owner = np.repeat(np.arange(len(texts)), lengths)[starts]
     values = mixed(Windows(width).of(flat)[starts]) if len(starts) else np.zeros(0, np.uint64)
@@ -123,6 +122,7 @@ def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                     [part.column(0), pa.array(sizes), pa.array(classes, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
                     names=[key, "n_shingles", "class", "bands", "sketch"],
                 )
+        release()
 
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_shingles bigint, class binary, bands array<bigint>, sketch binary")
 
@@ -245,6 +245,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
                     # another document may bear the same id
                     own = [i for i, c in enumerate(part.column(1).to_pylist()) if xxhash.xxh3_128_digest(sets[i]) == c]
                     yield pa.RecordBatch.from_arrays([*(part.column(n).take(pa.array(own, pa.int64())) for n in names), pa.array([sets[i] for i in own], pa.binary())], names=[*names, "set"])
+            release()
 
         read = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(small(who), F.col("_id").eqNullSafe(F.col("_key")))
         return read.select("_text", "class", *names).mapInArrow(run, schema)

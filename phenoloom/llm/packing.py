@@ -24,11 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenoloom.llm.frames import stored
+from phenoloom.llm.words import release
 from phenoloom.operators.ordered import hashed_rank
 
 CAPACITY = 2048
 #: Words whose tokens a task remembers; forgotten all at once, between batches.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 #: Lower-case letters that normalisation leaves alone: a run of them is exactly one token word, and so is a final stop.
 _PLAIN = re.compile("[a-zß-öø-ÿœ]+").fullmatch
 _STOPS = (".", ",")
@@ -151,6 +152,8 @@ def pieces(docs: DataFrame, tokenizer_json: str, key: str = "doc_id", text: str
                 if with_ids:
                     cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([first, bounds[-1:]]), pa.int32()), pa.array(ids.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(cols, names=[key, "piece", "start", "length", "ids_crc32", "ids"][: len(cols)])
+        del tokens
+        release()
 
     return docs.select(key, text).mapInArrow(cut, schema)
 

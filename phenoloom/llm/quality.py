@@ -21,15 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenoloom.llm.frames import small, stored
-from phenoloom.llm.words import WordHashes, Windows, covered, inside, mixed
+from phenoloom.llm.words import REMEMBERED_WORDS, Windows, covered, inside, mixed, release
 
 SYMBOLS, SPACE = b"#*$%&|<>", b" \t\n\r\x0b\x0c"
 REPEAT_WIDTH = 8
 #: Fixed limits: fewest words, and the most words in repeated windows of a hundred.
 FEWEST_WORDS, MOST_REPEATED = 20, 30
 
-_memory = WordHashes()
-
 
 def statistics_of(texts: list[str | None]) -> dict[str, np.ndarray]:
     """Counts per text, whole texts only."""
@@ -45,7 +43,7 @@ def statistics_of(texts: list[str | None]) -> dict[str, np.ndarray]:
         lines = [x for x in raw.split(b"\n") if x and not x.isspace()]
         out["n_dup_lines"][i] = len(lines) - len(set(lines))
     out["n_words"] = lengths
-    flat = _memory.of(words)
+    flat = REMEMBERED_WORDS.of(words)
     owner = np.repeat(np.arange(len(texts)), lengths)
     if len(flat):
         # distinct words per text, and repeated windows per text: the text's number is mixed into the hash
@@ -74,6 +72,7 @@ def text_statistics(docs: DataFrame, text: str = "text", keep: tuple[str, ...] =
             for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
                 found = statistics_of(part.column(len(keep)).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *(pa.array(found[c]) for c in COUNTS)], names=[*keep, *COUNTS])
+        release()
 
     return docs.select(*keep, text).mapInArrow(count, ", ".join([*kinds, *(f"{c} bigint" for c in COUNTS)]))
 

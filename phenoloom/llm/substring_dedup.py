@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenoloom.llm.frames import text_bytes
-from phenoloom.llm.words import WordHashes, covered, inside, mixed, two_windows
+from phenoloom.llm.words import REMEMBERED_WORDS, covered, inside, mixed, two_windows
 
 WIDTH = 35
 #: Bytes of text in a group, and windows in a bucket, on average.
@@ -29,8 +29,6 @@ GROUP_BYTES, BUCKET_WINDOWS = 2 << 20, 500_000
 #: Bytes of text that a word takes at least, on average; it only sizes the buckets.
 WORD_BYTES = 6
 
-_memory = WordHashes()
-
 
 class _Group:
     """The texts of a group in the order of their content, with the hashes of their windows."""
@@ -40,7 +38,7 @@ class _Group:
         self.rows = [x[-1] for x in sorted(order)]
         self.words = [order[i][1].encode().split() for i in self.rows]
         self.lengths = np.array([len(x) for x in self.words], np.int64)
-        flat = _memory.of([w for x in self.words for w in x])
+        flat = REMEMBERED_WORDS.of([w for x in self.words for w in x])
         by, dealt = two_windows(width)
         self.starts = np.flatnonzero(inside(self.lengths, width))
         self.hashes = by.of(flat)[self.starts]

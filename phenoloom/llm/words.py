@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
-#: Words that a task remembers at once. The memory forgets all when full; values never depend on it.
-REMEMBERED = 400_000
+#: Words that a Python worker remembers at once. The memory forgets all when full; values never depend on it.
+REMEMBERED = 150_000
 _BASE, _BASE2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
@@ -23,6 +26,17 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words)).view(np.uint64)
 
 
+#: One memory for all operators: a worker lives through many tasks of many stages.
+REMEMBERED_WORDS = WordHashes()
+
+
+def release() -> None:
+    """After a task: give back what the worker holds, as the next task may be another operator's."""
+    REMEMBERED_WORDS.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)

@@ -1,17 +1,19 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
-Every word of a text is predicted from the words on both sides of it: rows of a table for each place in the window are
-added and squashed, and a two-level softmax gives first the cluster of the word and then the word. Words beyond the
-vocabulary are predicted as one class and then spelt by byte frequencies, so each probability is one over all words. A
-document's score is the sum of the logarithms over all its words.
-
-Vocabulary, byte frequencies and the frequencies that the network starts from are counted over all documents. Training
-masks a share of the positions of every document, chosen by a hash of its text: each round every task improves the
-shared parameters on its own part in numpy, and the parameters are averaged over tasks, weighted by positions, slice by
-slice in two steps. What is gathered grows with the corpus; what reaches the driver is one set of parameters.
-
-Edge cases: a null text or one without words has no words, a sum of 0 and a null mean; an empty corpus spells every word
-evenly; repeated rows count and train each; ties in word frequency go by the word.
+A text is a sequence of units that cover all its words: frequent words, frequent parts of the other words, and single
+bytes. A word is cut, with a space in front, by the longest unit that fits from the left, unless it is a unit itself.
+Every unit is predicted from the units on both sides of it: rows of a table for each place in the window are added and
+squashed, and a two-level softmax gives first the cluster of the unit and then the unit. A document's score is the sum
+of the logarithms over all its units.
+
+Units and the frequencies that the network starts from are counted over all documents. Training deals the positions of
+every document over the rounds by a hash of its text, so that the rounds together visit every position once: each round
+every task improves the shared parameters on its own part in numpy, and the parameters are averaged over tasks, weighted
+by positions, slice by slice in two steps. What is gathered grows with the corpus; what reaches the driver is the units
+and one set of parameters.
+
+Edge cases: a null text or one without words has no words, a sum of 0 and a null mean; an empty corpus has bytes as its
+only units, all alike; repeated rows count and train each; ties in frequency go by the word or the part's bytes.
 """
 
 from __future__ import annotations
@@ -29,12 +31,15 @@ from pyspark.sql import functions as F
 from phenoloom.llm.words import mixed, release
 
 CLUSTERS, IN_CLUSTER, HIDDEN = 64, 64, 16
-#: Word classes; the last is every other word. One more row stands for the text's edge.
+#: Units. One more row stands for the text's edge.
 CLASSES = CLUSTERS * IN_CLUSTER
-OTHER, EDGE = CLASSES - 1, CLASSES
+EDGE = CLASSES
+#: Units that are whole words, and units that are parts of other words, of so many bytes; the rest are the 256 bytes.
+WHOLE, LONGEST = 2048, 6
+PARTS = CLASSES - 256 - WHOLE
 AROUND = (-2, -1, 1, 2)
-#: One position in so many is masked for training; passes over the corpus; positions in a step; step size.
-MASKED, ROUNDS, STEP, RATE = 10, 2, 1024, 0.1
+#: Passes over the corpus, which share its positions; positions in a step; step size.
+ROUNDS, STEP, RATE = 2, 1024, 0.1
 REMEMBERED, SLICES = 250_000, 32
 SHAPES = {
     "around": (len(AROUND), CLASSES + 1, HIDDEN), "bias": (HIDDEN,), "cluster": (HIDDEN, CLUSTERS), "cluster_bias": (CLUSTERS,),
@@ -60,23 +65,45 @@ def _log_share(x: np.ndarray, picked: np.ndarray) -> np.ndarray:
 
 class Model:
     def __init__(self, vocabulary: list[bytes], spelling: np.ndarray, weights: dict[str, np.ndarray]):
-        """``spelling``: logarithm of the frequency of each byte, and of the end of a word."""
+        """``vocabulary``: units of two bytes and more; every byte is one besides. ``spelling``: logarithm of the frequency
+        of each byte, and of the end of a word; scores do not use it."""
         self.vocabulary, self.spelling, self.weights = vocabulary, spelling, weights
         # ranks are dealt over the clusters, so that all are about equally frequent
-        self.ids = {w: (k % CLUSTERS) * IN_CLUSTER + k // CLUSTERS for k, w in enumerate(vocabulary)}
-        self.place, self.words, self.spelt = {}, np.zeros(0, np.int64), np.zeros(0)
+        self.ids = {w: (k % CLUSTERS) * IN_CLUSTER + k // CLUSTERS for k, w in enumerate([*vocabulary, *(bytes([b]) for b in range(256))])}
+        self.longest = max(map(len, self.ids))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place, self.units, self.first, self.size = {}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def cut(self, word: bytes) -> list[int]:
+        """Units of a word with a space in front."""
+        marked = b" " + word
+        one = self.ids.get(marked)
+        if one is not None:
+            return [one]
+        out, at, get = [], 0, self.ids.get
+        while at < len(marked):
+            for size in range(min(self.longest, len(marked) - at), 0, -1):
+                one = get(marked[at : at + size])
+                if one is not None:
+                    break
+            out.append(one)
+            at += size
+        return out
 
     def _learn(self, new: list[bytes]) -> None:
-        ids = np.array([self.ids.get(w, OTHER) for w in new], np.int64)
-        flat = np.frombuffer(b"".join(new), np.uint8)
-        sums = np.add.reduceat(self.spelling[flat], np.cumsum([0, *map(len, new[:-1])])) + self.spelling[256]
-        self.place.update(zip(new, range(len(self.words), len(self.words) + len(new)), strict=True))
-        self.words, self.spelt = np.concatenate([self.words, ids]), np.concatenate([self.spelt, np.where(ids == OTHER, sums, 0.0)])
-
-    def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Classes of all words end to end, their spelling and the number of words of each text."""
+        cuts = [self.cut(w) for w in new]
+        sizes = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        self.place.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
+        self.first = np.concatenate([self.first, len(self.units) + np.cumsum(sizes) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.units = np.concatenate([self.units, np.fromiter((u for c in cuts for u in c), np.int64, int(sizes.sum()))])
+
+    def units_of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Units of all words end to end, and the numbers of words and of units of each text."""
         if len(self.place) > REMEMBERED:
-            self.place, self.words, self.spelt = {}, np.zeros(0, np.int64), np.zeros(0)
+            self._forget()
         words, counts = [], np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
             mine = (text or "").encode().lower().split()
@@ -85,7 +112,16 @@ class Model:
         if new := list(set(words).difference(self.place)):
             self._learn(new)
         at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        return self.words[at], self.spelt[at], counts
+        sizes = self.size[at]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        units = self.units[np.repeat(self.first[at] - ends[:-1], sizes) + np.arange(ends[-1])]
+        upto = ends[np.concatenate([[0], np.cumsum(counts)])]
+        return units, counts, np.diff(upto)
+
+    def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Units end to end, what each adds beyond the network (nothing), and the number of units of each text."""
+        units, _, counts = self.units_of(texts)
+        return units, np.zeros(len(units)), counts
 
     @staticmethod
     def context(words: np.ndarray, counts: np.ndarray, some: np.ndarray | None = None) -> np.ndarray:
@@ -160,11 +196,10 @@ class Trainer:
             self.model.weights[k] -= RATE * g / np.sqrt(self.squares[k])
 
 
-def masked(seeds: np.ndarray, counts: np.ndarray, round_number: int) -> np.ndarray:
-    """Positions to train on: by a hash of the text, the round and the position."""
+def masked(seeds: np.ndarray, counts: np.ndarray, round_number: int, rounds: int = ROUNDS) -> np.ndarray:
+    """Positions to train on in a round: each is in one round, by a hash of the text and the position."""
     within = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-    mine = mixed(seeds + np.uint64(round_number))
-    return np.flatnonzero(mixed(np.repeat(mine, counts) + within.astype(np.uint64)) % np.uint64(MASKED) == 0)
+    return np.flatnonzero(mixed(np.repeat(mixed(seeds), counts) + within.astype(np.uint64)) % np.uint64(rounds) == round_number)
 
 
 def _flat(weights: dict[str, np.ndarray]) -> np.ndarray:
@@ -186,43 +221,74 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(F.explode(F.split(lower, r"[ \t\n\x0B\f\r]+")).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
 
 
+def part_counts(counts: DataFrame) -> DataFrame:
+    """``part, gain``: runs of 2 to ``LONGEST`` bytes in words with a space in front, and the bytes but the first that all save.
+
+    A part is a number: its bytes, and above them its length.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marked = [b" " + w.encode() for w in batch.column(0).to_pylist()]
+            sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+            flat = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
+            n = np.repeat(batch.column(1).to_numpy(), sizes)
+            left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(flat))
+            value = flat
+            for size in range(2, LONGEST + 1):
+                value = (value[: max(0, len(flat) - size + 1)] << np.uint64(8)) | flat[size - 1 :]
+                inner = np.flatnonzero(left[: len(value)] >= size)
+                found, back = np.unique(value[inner], return_inverse=True)
+                gain = np.bincount(back, n[inner], len(found)).astype(np.int64) * (size - 1)
+                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64) + (size << 48)), pa.array(gain)], names=["part", "gain"])
+
+    return counts.select("word", "n").mapInArrow(run, "part bigint, gain bigint").groupBy("part").agg(F.sum("gain").alias("gain"))
+
+
 def start(docs: DataFrame, text: str = "text", seed: int = 11) -> Model:
-    """Vocabulary, spelling and a network that predicts by frequency alone."""
+    """Units and a network that predicts by their frequency alone."""
     from phenoloom.llm.frames import stored
 
     counts = stored(word_counts(docs, text))
-    rows = counts.orderBy(F.desc("n"), "word").limit(CLASSES - 1).collect()  # a fixed number of words
-    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
-
-    def spell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(257, np.int64)
+    rows = counts.orderBy(F.desc("n"), "word").limit(WHOLE).collect()  # a fixed number of words
+    last = rows[-1] if rows else {"n": 0, "word": ""}
+    others = counts.where((F.col("n") < last["n"]) | ((F.col("n") == last["n"]) & (F.col("word") > last["word"])))
+    parts = part_counts(others).orderBy(F.desc("gain"), "part").limit(PARTS).collect()  # a fixed number of parts
+    raw = [(r["part"] & ((1 << 48) - 1)).to_bytes(r["part"] >> 48, "big") for r in parts]
+    vocabulary = list(dict.fromkeys([*(b" " + r["word"].encode() for r in rows), *raw]))
+    cutter = Model(vocabulary, np.zeros(257), {})
+    shipped = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def use(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine, sums, spelt = Model(shipped.value, np.zeros(257), {}), np.zeros(CLASSES, np.int64), np.zeros(257, np.int64)
         for batch in batches:
             for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums += n * np.bincount(np.frombuffer(word.encode(), np.uint8), minlength=257)
-                sums[256] += n
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(257)), pa.array(sums)], names=["byte", "n"])
-
-    bytes_of = counts.mapInArrow(spell, "byte bigint, n bigint").groupBy("byte").agg(F.sum("n").alias("n")).collect()  # 257 rows
-    freq = np.ones(257)
-    for r in bytes_of:
-        freq[r["byte"]] += r["n"]
+                raw = word.encode()
+                for unit in mine.cut(raw):
+                    sums[unit] += n
+                spelt += n * np.bincount(np.frombuffer(raw, np.uint8), minlength=257)
+                spelt[256] += n
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES + 257)), pa.array(np.concatenate([sums, spelt]))], names=["unit", "n"])
+
+    used = counts.mapInArrow(use, "unit bigint, n bigint").groupBy("unit").agg(F.sum("n").alias("n")).collect()  # a row per unit and byte
+    share, freq = np.full(CLASSES, 0.5), np.ones(257)
+    for r in used:
+        if r["unit"] < CLASSES:
+            share[r["unit"]] += r["n"]
+        else:
+            freq[r["unit"] - CLASSES] += r["n"]
     draw = np.random.default_rng(seed)
     weights = {k: draw.normal(0, 0.1, s).astype(np.float32) if k in ("around", "cluster", "word") else np.zeros(s, np.float32) for k, s in SHAPES.items()}
-    model = Model([r["word"].encode() for r in rows], np.log(freq / freq.sum()), weights)
-    share = np.full(CLASSES, 0.5)
-    for r in rows:
-        share[model.ids[r["word"].encode()]] += r["n"]
-    share[OTHER] += total - sum(r["n"] for r in rows)
     grid = share.reshape(CLUSTERS, IN_CLUSTER)
     weights["cluster_bias"][:] = np.log(grid.sum(1) / share.sum())
     weights["word_bias"][:] = np.log(grid / grid.sum(1, keepdims=True))
-    return model
+    return Model(cutter.vocabulary, np.log(freq / freq.sum()), weights)
 
 
 def read_words(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, n_words, words, spelt, seed``: classes of all words as bytes, the sum of their spelling, a hash of the text.
+    """``key, n_words, words, seed``: the units of all words as bytes, a hash of the text.
 
-    Stored, it lets every round and the scores read two bytes a word instead of the text.
+    Stored, it lets every round and the scores read two bytes a unit instead of the text.
     """
     shipped = docs.sparkSession.sparkContext.broadcast((model.vocabulary, model.spelling))
     kind = docs.schema[key].dataType.simpleString()
@@ -232,33 +298,30 @@ def read_words(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "
         for batch in batches:
             for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
                 texts = part.column(1).to_pylist()
-                words, spelt, counts = mine.read(texts)
+                units, words, counts = mine.units_of(texts)
                 ends = 2 * np.cumsum(counts)
-                raw = words.astype("<u2").tobytes()
+                raw = units.astype("<u2").tobytes()
                 lists = [raw[a:b] for a, b in zip((ends - 2 * counts).tolist(), ends.tolist(), strict=True)]
-                sums = np.bincount(np.repeat(np.arange(len(counts)), counts), spelt, len(counts)).astype(np.float64)
                 seeds = np.array([xxhash.xxh3_64_intdigest(x or "") for x in texts], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts), pa.array(lists, pa.binary()), pa.array(sums), pa.array(seeds)], names=[key, "n_words", "words", "spelt", "seed"]
-                )
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words), pa.array(lists, pa.binary()), pa.array(seeds)], names=[key, "n_words", "words", "seed"])
         del mine
         release()
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_words bigint, words binary, spelt double, seed bigint")
+    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_words bigint, words binary, seed bigint")
 
 
 def _parts(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Small parts of batches of read words, with the classes end to end and the words of each text."""
+    """Small parts of batches of read words, with the units end to end and the number of units of each text."""
     for batch in batches:
         for part in (batch.slice(i, rows) for i in range(0, batch.num_rows, rows)):
-            words = np.frombuffer(b"".join(part.column("words").to_pylist()), "<u2").astype(np.int64)
-            yield part, words, part.column("n_words").to_numpy()
+            raw = part.column("words").to_pylist()
+            yield part, np.frombuffer(b"".join(raw), "<u2").astype(np.int64), np.fromiter(map(len, raw), np.int64, len(raw)) // 2
 
 
-def improve(read: DataFrame, model: Model, round_number: int) -> Model:
-    """One round over all read texts: train in each task, average the parameters."""
+def improve(read: DataFrame, model: Model, round_number: int, rounds: int = ROUNDS) -> Model:
+    """One round over all read texts: train in each task on its positions of the round, average the parameters."""
     shipped = read.sparkSession.sparkContext.broadcast(model.weights)
-    rows = read.select("n_words", "words", "seed")
+    rows = read.select("words", "seed")
 
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = Model([], np.zeros(257), {k: v.copy() for k, v in shipped.value.items()})
@@ -274,7 +337,7 @@ def improve(read: DataFrame, model: Model, round_number: int) -> Model:
             return len(words) - upto
 
         for part, words, counts in _parts(batches, 500):
-            some = masked(part.column("seed").to_numpy().view(np.uint64), counts, round_number)
+            some = masked(part.column("seed").to_numpy().view(np.uint64), counts, round_number, rounds)
             kept_words.append(words[some])
             kept_context.append(mine.context(words, counts, some))
             waiting += len(some)
@@ -314,12 +377,12 @@ def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Model:
     model = start(docs, text)
     read = stored(read_words(docs.withColumn("_one", F.lit(0)), model, "_one", text))
     for k in range(rounds):
-        model = improve(read, model, k)
+        model = improve(read, model, k, rounds)
     return model
 
 
 def score_read(read: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
-    """``key, n_words, log_prob, mean_log_prob``: sums over every word of every text."""
+    """``key, n_words, log_prob, mean_log_prob``: sums over every unit of every text, and their mean by word."""
     shipped = read.sparkSession.sparkContext.broadcast(model.weights)
     kind = read.schema[key].dataType.simpleString()
 
@@ -327,11 +390,12 @@ def score_read(read: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
         mine = Model([], np.zeros(257), shipped.value)
         for part, words, counts in _parts(batches, 250):
             each = mine.log_probabilities(words, mine.context(words, counts))
-            sums = np.bincount(np.repeat(np.arange(len(counts)), counts), each, len(counts)) + part.column("spelt").to_numpy()
-            mean = pa.array(sums / np.maximum(counts, 1), mask=counts == 0)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), pa.array(sums), mean], names=[key, "n_words", "log_prob", "mean_log_prob"])
+            sums = np.bincount(np.repeat(np.arange(len(counts)), counts), each, len(counts)).astype(np.float64)
+            n = part.column("n_words").to_numpy()
+            mean = pa.array(sums / np.maximum(n, 1), mask=n == 0)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(sums), mean], names=[key, "n_words", "log_prob", "mean_log_prob"])
 
-    return read.select(key, "n_words", "words", "spelt").mapInArrow(run, f"`{key}` {kind}, n_words bigint, log_prob double, mean_log_prob double")
+    return read.select(key, "n_words", "words").mapInArrow(run, f"`{key}` {kind}, n_words bigint, log_prob double, mean_log_prob double")
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -345,5 +409,5 @@ def train_and_score(docs: DataFrame, key: str = "doc_id", text: str = "text", ro
     model = start(docs, text)
     read = stored(read_words(docs, model, key, text))
     for k in range(rounds):
-        model = improve(read, model, k)
+        model = improve(read, model, k, rounds)
     return score_read(read, model, key)

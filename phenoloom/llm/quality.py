@@ -3,11 +3,11 @@
 Statistics of a text are counted in its task. For every language and source, location and scatter of the transformed
 statistics are estimated by minimum covariance determinant: starting from all rows, concentration steps keep the share of
 rows with the smallest Mahalanobis distances and estimate again from those. A step is two grouped aggregates over all
-rows: a histogram of distances, whose bins give the cut, and sums of products below it. A text whose distance exceeds the
-cutoff is rejected.
+rows: a histogram of distances, whose bins give the cut, and sums of products below it. A group's estimate is drawn
+towards its language's and that towards the whole's, with a weight that falls with its rows. A text whose distance
+exceeds the cutoff is rejected.
 
-Edge cases: a null text has no words and fails the fixed limits; a null language or source is a group of its own; groups
-with few rows are judged by the estimate over all rows; a statistic that hardly varies keeps a least variance; an empty
+Edge cases: a null text has no words and fails the fixed limits; a null language or source is a group of its own; a statistic that hardly varies keeps a least variance; an empty
 table gives no rows; repeated rows count each.
 """
 
@@ -89,8 +89,8 @@ MEASURES = {
 P = len(MEASURES)
 #: Share of a group's rows in the concentrated set, number of concentration steps, and the chance to reject a normal row.
 CORE, STEPS, CHANCE = 0.75, 5, 1e-6
-#: A group with fewer judged rows uses the estimate over all rows.
-FEWEST_ROWS = 100
+#: An estimate from n rows weighs n / (n + PRIOR_ROWS), that of the larger group around it the rest.
+PRIOR_ROWS = 100
 #: Bins of a doubling of (1 + distance), and width of a bin of a statistic in the starting quartiles.
 BINS, WIDTH_OF_BIN = 32, 0.02
 
@@ -173,19 +173,44 @@ def minimum_covariance(rows: DataFrame, by: str = "grp", steps: int = STEPS) ->
     return now
 
 
+def shrunk(n: int, own: tuple[np.ndarray, np.ndarray], around: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Centre and scatter of a mixture of a group's estimate from ``n`` rows and that of the group around it."""
+    w, off = n / (n + PRIOR_ROWS), own[0] - around[0]
+    return around[0] + w * off, w * own[1] + (1 - w) * around[1] + w * (1 - w) * np.outer(off, off)
+
+
+def shrink(found: DataFrame, inside: DataFrame) -> DataFrame:
+    """``grp, centre, inverse`` of each row of ``inside`` (``grp, around``) from the stored estimates; that of all is named all."""
+    whole = found.where("grp = 'all'").first()  # one row, or none if there is nothing to judge
+    both = inside.join(found, "grp").join(small(found.select(F.col("grp").alias("around"), F.col("rows").alias("_n"), F.col("centre").alias("_c"), F.col("inverse").alias("_i"))), "around")
+    of = lambda centre, inverse: (np.asarray(centre, float), np.linalg.inv(np.reshape(inverse, (P, P)).astype(float)))
+    top = whole and (list(whole["centre"]), list(whole["inverse"]))
+
+    def run(batches):
+        for pdf in batches:
+            centres, inverses = [], []
+            for r in pdf.itertuples(index=False):
+                centre, scatter = shrunk(r.rows, of(r.centre, r.inverse), shrunk(r.around_rows, of(r.around_centre, r.around_inverse), of(*top)))
+                centres.append(centre.tolist())
+                inverses.append(np.linalg.inv(scatter).ravel().tolist())
+            yield pdf[["grp"]].assign(centre=centres, inverse=inverses)
+
+    named = both.select("grp", "rows", "centre", "inverse", F.col("_n").alias("around_rows"), F.col("_c").alias("around_centre"), F.col("_i").alias("around_inverse"))
+    return named.mapInPandas(run, "grp string, centre array<double>, inverse array<double>")
+
+
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", chance: float = CHANCE) -> DataFrame:
     """One row per document: ``key``, the counts, ``base_failed``, ``distance`` and ``kept``."""
     facts = text_statistics(docs, text, (key, lang, source))
     failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    group = F.concat_ws("/", F.coalesce(F.concat(F.lit("="), F.col(lang).cast("string")), F.lit("")), F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")))
+    named = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    around, group = F.concat(F.lit("language/"), named(lang)), F.concat_ws("/", F.lit("group"), named(lang), named(source))
     measured = F.array(*[f().cast("double") for f, _ in MEASURES.values()])
-    facts = stored(facts.withColumn("base_failed", failed).withColumn("grp", group).withColumn("x", F.when(~failed, measured)))
-    rows = facts.where("not base_failed").select(F.explode(F.array("grp", F.lit("all"))).alias("grp"), "x")
+    # all columns at once: the table may have had columns of these names
+    facts = stored(facts.select(key, *COUNTS, failed.alias("base_failed"), group.alias("grp"), around.alias("around"), F.when(~failed, measured).alias("x")))
+    rows = facts.where("not base_failed").select(F.explode(F.array("grp", "around", F.lit("all"))).alias("grp"), "x")
     found = minimum_covariance(rows)
-    each = found.where((F.col("rows") >= FEWEST_ROWS) & (F.col("grp") != "all"))
-    whole = found.where("grp = 'all'").first()  # one row, or none if there is nothing to judge
-    doubles = lambda xs: F.array(*map(F.lit, xs)) if whole else F.lit(None).cast("array<double>")
-    both = facts.join(small(each.drop("rows")), "grp", "left")
-    both = both.withColumn("centre", F.coalesce("centre", doubles(whole and whole["centre"]))).withColumn("inverse", F.coalesce("inverse", doubles(whole and whole["inverse"])))
+    inside_of = stored(facts.where("not base_failed").select("grp", "around").distinct())
+    both = facts.join(small(stored(shrink(found, inside_of))), "grp", "left")
     judged = both.withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     return judged.select(key, *COUNTS, "base_failed", "distance", (~F.col("base_failed") & (F.col("distance") <= chi2_cut(chance, P))).alias("kept"))

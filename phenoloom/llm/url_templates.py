@@ -1,8 +1,9 @@
 """URL filtering by a tree of path templates per host.
 
 A url's path becomes a list of segments. Going down from the root of each host, a segment that varies (its digits, or a
-node with many children) becomes a wildcard, and siblings are merged when their labels give the same evidence and the
-shapes below them are distributed alike. Each resulting template has the labelled urls that fell into it; its purity is
+node with many children) becomes a wildcard, and siblings are merged when their labels do not conflict and the
+shapes below them are distributed alike: a branch without labels joins the labelled branches that it is most like, unless
+it is like bad ones and good ones. Each resulting template has the labelled urls that fell into it; its purity is
 the share of bad ones, smoothed towards a small prior, and a template is rejected where that exceeds one half.
 
 All work after the first aggregate is on distinct (host, shape) rows. Edge cases: a null url, or one without ``://``,
@@ -27,6 +28,8 @@ MOST_CHILDREN, SEEN_ONCE = 50, 0.5
 PRIOR_WEIGHT, PRIOR_BAD, REJECT = 4.0, 0.1, 0.5
 #: Siblings are alike if their shape distributions differ by less than this plus the sampling error.
 ALIKE = 0.1
+#: A branch without labels joins labelled ones only if its shapes differ from theirs by less than this, whatever the error.
+MOSTLY = 0.5
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -96,29 +99,47 @@ def _one_level(tree: DataFrame, level: int) -> DataFrame:
     evidence = F.when(F.col("labelled") == 0, "none").when(centre - half > 0.5, "bad").when(centre + half < 0.5, "good").otherwise("open")
     children = children.withColumn("evidence", evidence)
 
-    # total variation between the shapes below a child and those below all children with the same evidence
-    kind = [*parent, "evidence"]
+    # total variation between the shapes below a child and those below all children of a kind: the child's own evidence,
+    # or any evidence if it has no labels
+    kind = [*parent, "kind"]
     seen = alive.groupBy(*node, "below").agg(F.sum("n").alias("k")).join(children.select(*node, "n", "evidence"), node)
-    pooled = seen.groupBy(*kind, "below").agg(F.sum("k").alias("pk"))
-    sizes = seen.groupBy(*kind).agg(F.sum("k").alias("pn"))
+    pooled = seen.groupBy(*parent, F.col("evidence").alias("kind"), "below").agg(F.sum("k").alias("pk"))
+    sizes = pooled.groupBy(*kind).agg(F.sum("pk").alias("pn"))
     away = (
-        seen.join(pooled, [*kind, "below"])
-        .join(sizes, kind)
-        .groupBy(*node)
+        seen.join(sizes, parent)
+        .where((F.col("evidence") == F.col("kind")) | (F.col("evidence") == "none"))
+        .join(pooled, [*kind, "below"], "left")
+        .withColumn("pk", F.coalesce("pk", F.lit(0)))
+        .groupBy(*node, "kind")
         .agg(
             # shapes the child lacks count through 1 - (their pooled share that it has)
             ((F.sum(F.abs(F.col("k") / F.col("n") - F.col("pk") / F.col("pn"))) + 1 - F.sum(F.col("pk") / F.col("pn"))) / 2).alias("away"),
             (F.sqrt(F.count("*") / F.max("n"))).alias("noise"),
         )
+        .withColumn("like", F.col("away") <= ALIKE + F.col("noise"))
+    )
+    # a few pages are like anything within the sampling error; to join labels most of their shapes must be known there
+    near = F.col("like") & (F.col("away") < MOSTLY)
+    joins = F.when(near & (F.col("kind") != "none"), F.struct("away", "kind", "like"))
+    own = children.select(*node, "evidence")
+    chosen = (
+        away.join(own, node)
+        .groupBy(*node)
+        .agg(
+            F.min(joins).alias("_joined"),
+            F.min(F.when(F.col("kind") == F.col("evidence"), F.struct("away", "kind", "like"))).alias("_own"),
+            F.count_if(near & F.col("kind").isin("bad", "good")).alias("_sides"),
+        )
+        .withColumn("_taken", F.when(F.col("_sides") < 2, F.coalesce("_joined", "_own")).otherwise(F.col("_own")))
+        .select(*node, F.col("_taken.kind").alias("kind"), F.col("_taken.like").alias("like"))
     )
     merged = (
         children.join(varied, parent)
-        .join(away, node)
-        .withColumn("like", F.col("away") <= ALIKE + F.col("noise"))
+        .join(chosen, node)
         .withColumn("first", F.min(F.when(F.col("like"), F.col("child"))).over(Window.partitionBy(*kind)))
         .withColumn("many", F.sum(F.col("like").cast("int")).over(Window.partitionBy(*kind)) > 1)
     )
-    name = F.when(F.col("variable"), F.concat(F.lit("*"), F.when(F.col("evidence").isin("bad", "good"), F.concat(F.lit(":"), F.col("evidence"))).otherwise("")))
+    name = F.when(F.col("variable"), F.concat(F.lit("*"), F.when(F.col("kind").isin("bad", "good"), F.concat(F.lit(":"), F.col("kind"))).otherwise("")))
     name = name.when(F.col("like") & F.col("many"), F.concat(F.lit("~"), F.col("first"))).otherwise(F.col("child"))
     names = merged.select(*node, name.alias("_name"))
     out = rows.join(names, node, "left")

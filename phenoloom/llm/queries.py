@@ -98,6 +98,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = piece_lattice.pieces(spark, public_tokenizers.path("piece_bpe_32k.model"))
-    known = stored(piece_lattice.encode_words(piece_lattice.vocabulary(table(spark, sf_dir, "documents")), model))
-    decoded = piece_lattice.decode(known.select("word", "ids"), model, ["word"])
-    return known.join(decoded, "word").select("word", "n", F.size("ids").alias("n_pieces"), "ids", "decoded")
+    encoded = stored(piece_lattice.encode_documents(table(spark, sf_dir, "documents"), model, merges=True))
+    decoded = piece_lattice.decode(encoded, model, ["doc_id"]).select("doc_id", F.sha2(piece_lattice.unmarked(F.col("decoded")), 256).alias("sha"))
+    out = encoded.where("size(ids) > 0").join(decoded, "doc_id").unionByName(encoded.where("size(ids) = 0").withColumn("sha", F.sha2(F.lit(""), 256)))
+    return out.select("doc_id", F.size("ids").alias("n_pieces"), "ids", F.col("sha").alias("decoded_sha256"))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenoloom.llm import embed_dedup, language_id, lm_scoring, odd_sketch, packing, piece_lattice, quality, sharding, sql, substring_dedup, url_templates
+from phenoloom.llm import (
+    contamination, embed_dedup, language_id, lm_scoring, merkle, odd_sketch, packing, periodic_runs, piece_lattice, quality, sharding, sql, substring_dedup,
+    url_templates,
+)
 from phenoloom.llm.frames import stored
 from phenoloom.llm.registry import query
 from phenoloom.session import shared_folder
@@ -102,3 +107,43 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = piece_lattice.decode(encoded, model, ["doc_id"]).select("doc_id", F.sha2(piece_lattice.unmarked(F.col("decoded")), 256).alias("sha"))
     out = encoded.where("size(ids) > 0").join(decoded, "doc_id").unionByName(encoded.where("size(ids) = 0").withColumn("sha", F.sha2(F.lit(""), 256)))
     return out.select("doc_id", F.size("ids").alias("n_pieces"), "ids", F.col("sha").alias("decoded_sha256"))
+
+
+def cycled(doc_id: int | None, n: int) -> tuple[int, int] | None:
+    """One document in ten is cycled from a word on: where, and after how many words, follow from its id and length."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10:
+        return None
+    g = h // 10
+    a = g % n
+    return a, 1 + (n - a) // (3 + g % 8)
+
+
+@query("op11_periodic_runs", sql.PERIODIC_RUNS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs.find_runs(table(spark, sf_dir, "documents"), tail=cycled)
+    # the greatest length, then the smallest start, then the smallest period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    text = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    return out.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.p")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.p")).alias("exponent_milli"), F.sha2(text, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op12_suffix_automaton", sql.CONTAMINATION)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = contamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
+
+
+@query("op13_octopus_manifest", sql.MANIFEST)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    altered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf_digest(*fields, lowered))
+    out = merkle.manifest(table(spark, sf_dir, "documents"), "doc_id", "lang", merkle.leaf_digest(*fields, F.col("text")), altered)
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")

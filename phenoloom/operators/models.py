@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from phenoloom.operators import evaluation as E
-from phenoloom.operators.resampling import balanced_weight, class_counts, poisson_one, repeated_folds, rose, stratified_folds
+from phenoloom.operators import trees as T
+from phenoloom.operators.resampling import balanced_weight, class_counts, repeated_folds, rose, stratified_folds
 from phenoloom.operators.shape import cells_from_arrays
 from phenoloom.session import materialise
 
@@ -41,9 +42,9 @@ DEEPEST = 30
 
 @dataclass(frozen=True)
 class Recipe:
-    """An estimator with its default parameters, whether classes are weighted, and its tuning grid."""
+    """An estimator (none for our own) with its default parameters, whether classes are weighted, and its tuning grid."""
 
-    estimator: type
+    estimator: type | None
     defaults: dict
     balanced: bool
     grid: dict = field(default_factory=dict)
@@ -76,16 +77,16 @@ RECIPES: dict[str, Recipe] = {
         {"maxIter": [50, 100, 200], "stepSize": [0.01, 0.1, 0.2], "maxDepth": [3, 5, 7]},
     ),
     "xgboost": Recipe(
-        GBTClassifier,
+        None,
         {"maxIter": 300, "maxDepth": 6, "stepSize": 0.1},
         False,
         {
             "maxIter": [150, 300, 500],
             "maxDepth": [1, 3, 5, 7, 10],
             "stepSize": [0.03, 0.05, 0.1],
-            "minInfoGain": [0.0, 0.1, 0.5],
-            "featureSubsetStrategy": ["0.8", "1.0"],
-            "minInstancesPerNode": [1, 3],
+            "minSplitLoss": [0.0, 0.1, 0.5],
+            "columnShare": [0.8, 1.0],
+            "minChildWeight": [1.0, 3.0],
             "subsamplingRate": [0.6, 0.8, 1.0],
         },
     ),
@@ -226,10 +227,28 @@ def _fit(train: DataFrame, model: str, params: dict, seed: int, scale: bool, cou
         data = stretch.transform(scaler.transform(data))
     if model == "svm":
         return _fit_svm(data, before, column, spec.defaults | params, rows, seed)
+    if model == "xgboost":
+        return PipelineModel([*before, _boosted(data, column, spec.defaults | params, seed)])
     est = _estimator(model, params, rows, spec.balanced, seed).setFeaturesCol(column)
     return PipelineModel([*before, est.fit(data)])
 
 
+#: Settings of second-order boosting and the names of its arguments.
+BOOSTING = {
+    "maxIter": "rounds", "maxDepth": "depth", "stepSize": "rate", "regLambda": "l2", "minSplitLoss": "least_gain", "minChildWeight": "least_child_weight",
+    "columnShare": "column_share", "subsamplingRate": "row_share", "maxBins": "bins",
+}
+
+
+def _boosted(data: DataFrame, column: str, params: dict, seed: int) -> T.TreeModel:
+    if unknown := set(params) - set(BOOSTING):
+        raise ValueError(f"unknown settings {sorted(unknown)}; known: {sorted(BOOSTING)}")
+    rows = data.select(vector_to_array(column).alias("features"), LABEL)
+    trees = T.boost(rows, LABEL, seed=seed, **{BOOSTING[k]: v for k, v in params.items()})
+    width = rows.select(F.size("features").alias("n")).first()["n"]
+    return T.TreeModel(trees, True, width, column)
+
+
 def _fit_svm(data: DataFrame, before: list, column: str, p: dict, rows: int, seed: int) -> PipelineModel:
     """Linear or kernel machine, with probabilities by a logistic fit on margins of rows not used for the margin."""
     stages = list(before)
@@ -616,30 +635,24 @@ def load_model(spark: SparkSession, path: str) -> Trained:
 # --- out-of-bag ------------------------------------------------------------------------------------------------------
 
 
-def oob_scores(frame: DataFrame, key: str, bags: int = 50, params: dict | None = None, seed: int = SEED, parallelism: int = 4) -> DataFrame:
-    """Out-of-bag scores: every bag weights the rows by a Poisson(1) count from their hash, fits one tree, and scores
-    the rows of weight zero; scores are averaged per row."""
-    base = frame.withColumn("balance", balanced_weight(F.col(LABEL), class_counts(frame, LABEL)))
-    base = compact(base.withColumn("features", array_to_vector(F.col("features"))), frame.count()).persist(StorageLevel.MEMORY_AND_DISK)
-    settings = {"maxDepth": 10, "featureSubsetStrategy": "sqrt"} | (params or {})
-
-    def bag(i: int):
-        def run():
-            drawn = base.withColumn("bag", poisson_one(F.col(key), F.lit(seed), F.lit(i)))
-            inside = drawn.where("bag > 0").withColumn("weight", F.col("bag") * F.col("balance"))
-            tree = RandomForestClassifier(
-                featuresCol="features", labelCol=LABEL, weightCol="weight", numTrees=1, bootstrap=False, seed=seed + i, **settings
-            ).fit(inside)
-            return tree.transform(drawn.where("bag = 0")).select(key, LABEL, vector_to_array("probability")[1].alias("p"))
-
-        return run
+def oob_forest(frame: DataFrame, key: str, params: dict | None = None, weighted: bool = True, seed: int = SEED) -> tuple[T.Trees, DataFrame]:
+    """A forest and its own out-of-bag scores: the trees that are returned are the trees that score.
 
+    Settings are those of ``trees.bagged_forest``; classes are weighted to balance unless ``weighted`` is off.
+    """
+    data = frame.withColumn("_weight", balanced_weight(F.col(LABEL), class_counts(frame, LABEL))) if weighted else frame.withColumn("_weight", F.lit(1.0))
+    data = compact(data, frame.count()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        parts = run_all([bag(i) for i in range(bags)], parallelism)
-        out = reduce(DataFrame.unionByName, parts).groupBy(key, F.col(LABEL).alias("actual")).agg(F.avg("p").alias("score"), F.count("*").alias("n_bags"))
-        return materialise(out.withColumn("prediction", (F.col("score") > 0.5).cast("int")))
+        forest = T.bagged_forest(data, key, LABEL, weight="_weight", seed=seed, **(params or {}))
+        return forest, T.out_of_bag(data, key, forest, LABEL, seed=seed)
     finally:
-        base.unpersist()
+        data.unpersist()
+
+
+def oob_scores(frame: DataFrame, key: str, bags: int = 50, params: dict | None = None, seed: int = SEED) -> DataFrame:
+    """Out-of-bag scores of a forest of ``bags`` trees: ``key, actual, score, n_trees, prediction``; rows in all bags have none."""
+    renamed = {{"maxDepth": "depth", "minInstancesPerNode": "least_leaf_rows", "featureSubsetStrategy": "columns"}.get(k, k): v for k, v in (params or {}).items()}
+    return oob_forest(frame, key, {"depth": 10} | renamed | {"trees": bags}, seed=seed)[1].where("n_trees > 0")
 
 
 def hold_out(frame: DataFrame, key: str, fraction: float = 0.1, seed: int = SEED) -> tuple[DataFrame, DataFrame]:

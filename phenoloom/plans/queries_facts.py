@@ -24,7 +24,7 @@ _HOLD_OUT = f"""{_CLASSES}, parts AS (SELECT 'val' AS split, outcome, CAST(ceil(
 _FOREST, _LINEAR = ("random_forest", FOREST, False), ("logistic_regression", {"maxIter": 30}, True)
 TRAINED = {
     "train_rf": _FOREST, "train_gbt": ("gradient_boosting", BOOST, False), "train_logistic": _LINEAR,
-    "train_xgboost_style": ("xgboost", {"maxIter": 10, "maxDepth": 3, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}, False),
+    "train_xgboost_style": ("xgboost", {"maxIter": 10, "maxDepth": 3, "subsamplingRate": 0.8, "columnShare": 0.8}, False),
     "train_elastic_net": ("elastic_net", {"regParam": 0.01, "maxIter": 50}, True), "train_svm_linear": ("svm", {"kernel": "linear", "maxIter": 10}, True),
     "train_svm_rbf": ("svm", {"kernel": "rbf", "maxIter": 10, "n_random": 32}, True),
 }
@@ -108,3 +108,15 @@ def reload_facts(spark, sf):
     again = M.predict(M.load_model(spark, path).model, frame, [KEY, M.LABEL]).select(KEY, M.LABEL, F.col("score").alias("reloaded"))
     both = models.predict(frame).select(KEY, "score").join(again, KEY)
     return tidy(both.groupBy(F.col(M.LABEL).alias("outcome")).agg(F.count("*").alias("n"), F.bool_and(F.col("score") == F.col("reloaded")).alias("same")))
+
+
+@query("oob_facts", f"WITH {_CLASSES} SELECT CAST(outcome AS BIGINT) AS outcome, n, true AS once, true AS shares, true AS left_out FROM c")
+def oob_facts(spark, sf):
+    """Every row is scored once, by trees of the reported forest whose bags leave it out; a row in all bags has no score."""
+    frame, names = doc_frame(spark, sf)
+    _, scores = M.oob_forest(frame, KEY, {"trees": 20, "depth": 5})
+    out = scores.groupBy(F.col("actual").alias("outcome")).agg(
+        F.count("*").alias("n"), (F.count("*") == F.countDistinct(KEY)).alias("once"), F.bool_and(F.coalesce(F.col("score").between(0, 1), F.col("n_trees") == 0)).alias("shares"),
+        F.bool_and(F.col("n_trees").between(0, 20)).alias("left_out"),
+    )
+    return tidy(out)

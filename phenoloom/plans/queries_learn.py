@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from phenoloom.operators import evaluation as E
 from phenoloom.operators import models as M
 from phenoloom.operators import selection as Z
+from phenoloom.operators import trees as T
 from phenoloom.operators.association import associate_moderated
 from phenoloom.operators.shape import arrays_from_wide, slice_arrays
 from phenoloom.plans import cohorts as K
@@ -134,13 +135,57 @@ def _train(model: str, params: dict | None = None, frame=doc_frame, **options):
 query("train_rf")(_train("random_forest", FOREST))
 query("train_rf_rose")(_train("random_forest", FOREST, sampling="rose"))
 query("train_gbt")(_train("gradient_boosting", BOOST))
-query("train_xgboost_style")(_train("xgboost", {"maxIter": 10, "maxDepth": 3, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}))
+query("train_xgboost_style")(_train("xgboost", {"maxIter": 10, "maxDepth": 3, "subsamplingRate": 0.8, "columnShare": 0.8}))
 query("train_elastic_net")(_train("elastic_net", {"regParam": 0.01, "maxIter": 50}, scale=True))
 query("train_svm_linear")(_train("svm", {"kernel": "linear", "maxIter": 10}, scale=True))
 query("train_svm_rbf")(_train("svm", {"kernel": "rbf", "maxIter": 10, "n_random": 64}, frame=vector_frame))
 query("train_logistic_lines")(_train("logistic_regression", {"maxIter": 15}, frame=line_frame, scale=True))
 
 
+STUMP_FEATURES = ["quantity", "discount", "tax"]
+
+
+def _sql_stump(number: int) -> str:
+    """Best cut of one round of depth 1 over all values, and both leaves; margins of the rounds before are in ``m{number - 1}``."""
+    score = "({0}) * ({0}) / (({1}) + 1)"
+    gain = f"{score.format('ga', 'ha')} + {score.format('tg - ga', 'th - ha')} - {score.format('tg', 'th')}"
+    return f"""g{number} AS (SELECT *, 1 / (1 + exp(-margin)) - y AS g, 1 / (1 + exp(-margin)) * (1 - 1 / (1 + exp(-margin))) AS h FROM m{number - 1}),
+ v{number} AS (SELECT feature, value, sum(g) AS g, sum(h) AS h FROM (UNPIVOT g{number} ON {", ".join(STUMP_FEATURES)} INTO NAME feature VALUE value) GROUP BY ALL),
+ u{number} AS (SELECT feature, value, sum(g) OVER up AS ga, sum(h) OVER up AS ha, sum(g) OVER one AS tg, sum(h) OVER one AS th, max(value) OVER one AS top FROM v{number}
+  WINDOW up AS (PARTITION BY feature ORDER BY value), one AS (PARTITION BY feature)),
+ b{number} AS (SELECT feature, value AS threshold, {gain} AS gain, -0.1 * ga / (ha + 1) AS low, -0.1 * (tg - ga) / (th - ha + 1) AS high, th AS cover
+  FROM u{number} WHERE value < top AND ha >= 1 AND th - ha >= 1
+  ORDER BY round(gain, 9) DESC, list_position(['quantity', 'discount', 'tax'], feature), threshold LIMIT 1),
+ m{number} AS (SELECT m{number - 1}.* REPLACE (margin + CASE WHEN (CASE feature WHEN 'quantity' THEN quantity WHEN 'discount' THEN discount ELSE tax END) <= threshold THEN low ELSE high END AS margin)
+  FROM m{number - 1}, b{number})"""
+
+
+@query(
+    "boosted_stumps",
+    f"""WITH {K.SQL_LINES}, m0 AS (SELECT quantity, discount, tax, CAST(outcome AS DOUBLE) AS y, 0.0::DOUBLE AS margin FROM lines),
+ {", ".join(_sql_stump(i) for i in (1, 2, 3))},
+ b AS ({" UNION ALL ".join(f"SELECT CAST({i - 1} AS BIGINT) AS round, * FROM b{i}" for i in (1, 2, 3))})
+ SELECT round, feature, round(threshold, 6) AS threshold, round(gain, 4) AS gain, round(low, 6) AS low, round(high, 6) AS high, round(cover, 4) AS cover FROM b""",
+)
+def boosted_stumps(spark, sf):
+    """Three rounds of second-order boosting with one cut each, over all lines."""
+    lines = arrays_from_wide(K.line_table(spark, sf), STUMP_FEATURES, [KEY, "outcome"])
+    nodes = spark.createDataFrame(T.boost(lines, rounds=3, depth=1).table(), T.TABLE_SCHEMA)
+    value = nodes.select("tree", "node", "value")
+    low, high = (value.select("tree", F.col("node").alias(side), F.col("value").alias(name)) for side, name in (("left", "low"), ("right", "high")))
+    out = nodes.where("feature >= 0").drop("value").join(low, ["tree", "left"]).join(high, ["tree", "right"])
+    out = out.withColumn("feature", F.element_at(F.array(*[F.lit(f) for f in STUMP_FEATURES]), F.col("feature") + 1))
+    return tidy(out.select(F.col("tree").alias("round"), "feature", "threshold", "gain", "low", "high", "cover"), gain=4, cover=4)
+
+
+@query("boosted_trees")
+def boosted_trees(spark, sf):
+    """The nodes of second-order boosting on the document measures; brute force in the tests."""
+    frame, names = doc_frame(spark, sf)
+    trees = T.boost(frame, rounds=8, depth=3, rate=0.3, column_share=0.8, row_share=0.8)
+    return tidy(spark.createDataFrame(trees.table(), T.TABLE_SCHEMA))
+
+
 _LOGISTIC = f"""{K.SQL_LINES}, n AS (SELECT outcome, count(*) AS c FROM lines GROUP BY 1),
  cells AS (SELECT 'all' AS feature, quantity / 50 AS x, discount * 10 AS z, CAST(lines.outcome AS DOUBLE) AS y, (SELECT sum(c) FROM n) / (2 * n.c) AS w FROM lines JOIN n ON n.outcome = lines.outcome)"""
 
@@ -209,7 +254,7 @@ def predict_reload(spark, sf):
 @query("oob_score")
 def oob_score(spark, sf):
     frame, names = doc_frame(spark, sf)
-    scores = M.oob_scores(frame, KEY, bags=12, params={"maxDepth": 4})
+    scores = M.oob_scores(frame, KEY, bags=30, params={"maxDepth": 4})
     return E.accuracy(scores).select(F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")).unionByName(
         E.auc(scores).select(F.lit("auc").alias("metric"), F.col("auc").alias("value"))
     )

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from phenoloom.operators import evaluation as E
+from phenoloom.operators import linear as L
 from phenoloom.operators import trees as T
 from phenoloom.operators.resampling import balanced_weight, class_counts, repeated_folds, rose, stratified_folds
 from phenoloom.operators.shape import cells_from_arrays
@@ -333,6 +334,47 @@ def _resampled(train: DataFrame, names: Sequence[str], key: str, sampling: str |
     return rose(train, names, key, LABEL, seed=seed) if sampling == "rose" else train
 
 
+#: Settings of logistic fits that the stacked fits know; with them a fit is run to its optimum.
+STACKED = {"C", "regParam", "elasticNetParam", "maxIter", "tol", "standardization"}
+
+
+def stacked(model: str, settings: Sequence[dict], scale: bool) -> bool:
+    """Whether these are logistic fits that differ in penalty and mixing alone."""
+    if model not in ("logistic_regression", "elastic_net"):
+        return False
+    full = [recipe(model).defaults | s for s in settings]
+    return all(set(s) <= STACKED for s in full) and len({s["standardization"] for s in full}) == 1 and not (scale and full[0]["standardization"])
+
+
+def _stacked_scores(folded: DataFrame, key: str, model: str, settings: Sequence[dict], k: int, repeats: int, scale: bool) -> tuple[DataFrame, dict]:
+    spec = recipe(model)
+    groups = [L.Group(r, f) for r in range(1, repeats + 1) for f in range(k)]
+    errors, given = {}, {}
+    counts = fold_counts(folded)
+    rows = {g: sum(_training_counts(counts, g.repeat, g.fold).values()) for g in groups}
+    models: dict = {}
+    how = "population" if scale else "sample" if (spec.defaults | dict(settings[0]))["standardization"] else "none"
+    for i, s in enumerate(settings):
+        full = spec.defaults | s
+        try:
+            mixing, bad = float(full["elasticNetParam"]), [n for n in ("C", "regParam") if full.get(n) is not None and (full[n] < 0 or n == "C" and full[n] == 0)]
+            if not 0 <= mixing <= 1 or bad:
+                raise ValueError(f"invalid setting {s}")
+            given[i] = mixing, full
+        except (TypeError, ValueError) as e:
+            errors[i] = str(e)
+    # penalties that depend on the rows of a fold differ by group: fits of one size go together
+    for n in sorted(set(rows.values())):
+        own = [g for g in groups if rows[g] == n]
+        fits = [L.Setting(mixing, 1.0 / (full["C"] * n) if full.get("C") is not None else float(full.get("regParam", 0.0))) for mixing, full in given.values()]
+        if fits:
+            found = L.fit_many(folded, fits, own, how, spec.balanced, LABEL)
+            models |= {(list(given)[i], groups.index(own[g])): f for (i, g), f in found.items()}
+    if not models:
+        raise ValueError(f"no setting of {model!r} could be fitted: {errors}")
+    return L.scores_of(folded, key, models, groups, LABEL), errors
+
+
 def cross_scores(
     folded: DataFrame,
     names: Sequence[str],
@@ -348,8 +390,11 @@ def cross_scores(
 ) -> tuple[DataFrame, dict]:
     """Out-of-fold scores ``(setting, repeat, fold, key, actual, prediction, score)`` for every setting, and errors.
 
-    Resampling touches the training part only. A setting the estimator refuses is reported, not fatal.
+    Resampling touches the training part only. A setting the estimator refuses is reported, not fatal. Logistic fits
+    without resampling all advance together, see ``linear``; other fits are jobs of their own.
     """
+    if sampling in (None, "none") and stacked(model, settings, scale):
+        return _stacked_scores(folded, key, model, settings, k, repeats, scale)
     counts = fold_counts(folded)
     errors: dict = {}
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phenoloom.operators import evaluation as E
+from phenoloom.operators import linear as L
 from phenoloom.operators import models as M
 from phenoloom.operators import selection as Z
 from phenoloom.operators import trees as T
@@ -202,6 +203,49 @@ def logistic_coefficients(spark, sf):
     return tidy(spark.createDataFrame(rows, "term string, value double"), 4)
 
 
+@query(
+    "logistic_coefficients_stacked",
+    f"WITH {sql_newton(_LOGISTIC, 8)} SELECT term, round(value, 4) AS value FROM (SELECT unnest(['intercept', 'quantity', 'discount']) AS term, unnest([a, b, c]) AS value FROM b8)",
+)
+def logistic_coefficients_stacked(spark, sf):
+    """The same ridge fit by the stacked Newton steps, next to a path of other penalties."""
+    lines = K.line_table(spark, sf).select(KEY, "outcome", (F.col("quantity") / 50).alias("quantity"), (F.col("discount") * 10).alias("discount"))
+    frame = arrays_from_wide(lines, ["quantity", "discount"], ["outcome"])
+    n = frame.count()
+    m = L.fit_many(frame, [L.Setting(0.0, c / n) for c in (100.0, 10.0, 1.0, 0.1)], balanced=True)[2, 0]
+    rows = [("intercept", m.intercept), *zip(["quantity", "discount"], map(float, m.coefficients))]
+    return tidy(spark.createDataFrame(rows, "term string, value double"), 4)
+
+
+PATH_LENGTH = 20
+
+
+@query(
+    "elastic_net_path_facts",
+    f"""WITH {K.sql_doc_cells()}, c AS (SELECT feature, abs(covar_pop(value, outcome)) / stddev_pop(value) AS c FROM cells GROUP BY 1),
+ top AS (SELECT a AS alpha, max(c) / a AS top FROM c, (SELECT unnest([0.1::DOUBLE, 0.5, 1.0]) AS a) GROUP BY 1)
+ SELECT alpha, step, round(top * pow(1e-4, step / {PATH_LENGTH - 1}), 6) AS penalty, true AS optimal, true AS no_worse, step = 0 AS empty
+ FROM top, (SELECT unnest(range(0, {PATH_LENGTH})) AS step)""",
+)
+def elastic_net_path_facts(spark, sf):
+    """The path of each mixing: its penalties, whether every point is optimal, fits no worse than the one before, and is empty."""
+    frame, names = doc_frame(spark, sf)
+    rows = []
+    for p in L.elastic_net_path(frame, names, [0.1, 0.5, 1.0], PATH_LENGTH):
+        before = rows[-1][-1] if p["step"] else float("inf")
+        rows.append((p["alpha"], p["step"], p["penalty"], p["off"] <= 1e-6, p["loss"] <= before + 1e-9, p["n_features"] == 0, p["loss"]))
+    return tidy(spark.createDataFrame(rows, "alpha double, step long, penalty double, optimal boolean, no_worse boolean, empty boolean, loss double").drop("loss"))
+
+
+@query("elastic_net_path")
+def elastic_net_path(spark, sf):
+    """Coefficients along the path, one row for each point and feature."""
+    frame, names = doc_frame(spark, sf)
+    points = L.elastic_net_path(frame, names, [0.5, 1.0], PATH_LENGTH)
+    rows = [(p["alpha"], p["step"], p["penalty"], n, c) for p in points for n, c in p["coefficients"].items()]
+    return tidy(spark.createDataFrame(rows, "alpha double, step int, penalty double, feature string, coefficient double"))
+
+
 @query("grid_search")
 def grid_search(spark, sf):
     frame, names = doc_frame(spark, sf)

@@ -7,12 +7,15 @@ the cells visited hold the target share of all places a partner at the threshold
 bounded sample, by turning sampled vectors by the threshold's angle in random directions. What is found is verified by
 cosine in double precision; a pair counts once and for both, whichever of the two found it.
 
-Cells with many vectors are cut into blocks of a fixed size, and every block meets each of its visitors' blocks; a block
-answers with counts per vector and a spanning forest of its links, never with pairs.
+Vectors that are equal once scaled are one class with its number of copies, and only classes are compared. Cells with many
+classes are cut into blocks of a fixed size, and every block meets each of its visitors' blocks; a block answers with counts
+per class and a spanning forest of its links, never with pairs.
 
-Edge cases: null labels, null or zero vectors, and vectors with null or non-finite components or another length than
-most link with nothing; equal vectors link; repeated ids are other vectors, though one node; an empty table gives no
-rows.
+Only vectors of one length can link. Each length of more than ``PER_CELL`` classes has an index of its own; the classes of
+a rarer length and one label are one cell.
+
+Edge cases: null labels, null or zero vectors, and vectors with null or non-finite components link with nothing; equal
+vectors link; repeated ids are other vectors, though one node; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -114,9 +117,8 @@ class Index:
 
 
 def fit(vectors: DataFrame, rows: int, cosine: float = COSINE, target: float = TARGET, sample: int = SAMPLE) -> Index | None:
-    """Fit on at most ``sample`` of the stored unit vectors ``v``, in the order of a hash of key and vector, so that copies of
-    one vector do not fill it; all rows are indexed later."""
-    some = vectors.select("key", "v").orderBy(F.xxhash64("key", "v"), "v").limit(sample).collect()
+    """Fit on at most ``sample`` of the stored classes' unit vectors ``v``, in the order of a hash; all are indexed later."""
+    some = vectors.select("v").orderBy(F.xxhash64("v"), "v").limit(sample).collect()
     if not some:
         return None
     points = np.stack([np.frombuffer(r["v"], np.float64) for r in some])
@@ -147,58 +149,62 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     """One row per vector: ``key, n_links, component_id, kept``."""
     kind = rows.schema[key].dataType.simpleString()
     every = stored(unit_vectors(rows, key, vector, label))
-    usable = every.where("v is not null")
-    widths = usable.groupBy(F.octet_length("v").alias("w")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(1).collect()
-    width = widths[0]["w"] if widths else 0
-    usable = usable.where(F.octet_length("v") == width)
-    index = fit(usable, usable.count(), cosine, target)
-    none = every.select(F.col("key").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"))
-    if index is None:
-        return none.withColumn("kept", F.col(key).isNotNull())
-    shipped = rows.sparkSession.sparkContext.broadcast((index.books, index.reach))
+    classes = stored(every.where("v is not null").groupBy("label", "v").agg(F.min("node").alias("node"), F.count("*").alias("copies")).withColumn("w", F.octet_length("v")))
+    widths = classes.groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") > PER_CELL).collect()
+    shipped = rows.sparkSession.sparkContext.broadcast({r["w"]: (x.books, x.reach) for r in widths if (x := fit(classes.where(F.col("w") == r["w"]), r["n"], cosine, target))})
 
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Index(*shipped.value)
+        indexes = {w: Index(*x) for w, x in shipped.value.items()}
         for batch in batches:
-            for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
-                points = np.frombuffer(b"".join(part.column(2).to_pylist()), np.float64).reshape(part.num_rows, -1)
-                at, cell = own.visits(points)
-                home = own.cells(points)
-                lists = np.split(cell[np.argsort(at, kind="stable")], np.cumsum(np.bincount(at, minlength=part.num_rows))[:-1])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(home), pa.array(lists, pa.list_(pa.int64()))], names=["node", "label", "v", "cell", "visits"])
+            width = batch.column(4).to_numpy()
+            for w in np.unique(width):
+                mine = batch.take(pa.array(np.flatnonzero(width == w)))
+                for part in (mine.slice(i, 512) for i in range(0, mine.num_rows, 512)):
+                    if (own := indexes.get(int(w))) is None:
+                        home, lists = np.zeros(part.num_rows, np.int64), [[0]] * part.num_rows
+                    else:
+                        points = np.frombuffer(b"".join(part.column(2).to_pylist()), np.float64).reshape(part.num_rows, -1)
+                        at, cell = own.visits(points)
+                        home = own.cells(points)
+                        lists = np.split(cell[np.argsort(at, kind="stable")], np.cumsum(np.bincount(at, minlength=part.num_rows))[:-1])
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(home), pa.array(lists, pa.list_(pa.int64()))], names=["node", "label", "v", "copies", "w", "cell", "visits"])
 
     label_kind = rows.schema[label].dataType.simpleString()
-    dealt = stored(usable.select("node", "label", "v").mapInArrow(deal, f"node bigint, label {label_kind}, v binary, cell bigint, visits array<bigint>"))
-    place = ["label", "cell"]
-    # blocks of a cell's own vectors, and of its visitors
+    dealt = stored(classes.select("node", "label", "v", "copies", "w").mapInArrow(deal, f"node bigint, label {label_kind}, v binary, copies bigint, w int, cell bigint, visits array<bigint>"))
+    place = ["label", "w", "cell"]
+    # blocks of a cell's own classes, and of its visitors
     lots = lambda name: F.ceil(F.col(name) / block)
     homes = stored(dealt.groupBy(*place).agg(F.count("*").alias("members")))
-    calls = dealt.select("node", "label", "v", F.col("cell").alias("home"), F.explode("visits").alias("cell"))
+    calls = dealt.select("node", "label", "w", "v", "copies", F.col("cell").alias("home"), F.explode("visits").alias("cell"))
     guests = stored(calls.groupBy(*place).agg(F.count("*").alias("callers")).join(homes, place))
     spread = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), n)
     sizes = small(guests.select(*place, lots("members").alias("m"), lots("callers").alias("q")))
     upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
-    group = lambda i, j: F.struct("label", "cell", i.alias("i"), j.alias("j"))
+    group = lambda i, j: F.struct("label", "w", "cell", i.alias("i"), j.alias("j"))
     asking = calls.join(sizes, place).withColumn("s", spread(F.col("q"), 5)).withColumn("j", F.explode(upto("m"))).withColumn("g", group(F.col("s"), F.col("j")))
-    asked = dealt.select("node", "label", "v", F.col("cell").alias("home"), "cell").join(sizes, place).withColumn("s", spread(F.col("m"), 9)).withColumn("i", F.explode(upto("q"))).withColumn("g", group(F.col("i"), F.col("s")))
-    meet = asking.select("g", F.lit(0).alias("side"), "node", "home", "v").unionByName(asked.select("g", F.lit(1).alias("side"), "node", "home", "v"))
+    asked = dealt.select("node", "label", "w", "v", "copies", F.col("cell").alias("home"), "cell").join(sizes, place).withColumn("s", spread(F.col("m"), 9)).withColumn("i", F.explode(upto("q"))).withColumn("g", group(F.col("i"), F.col("s")))
+    meet = asking.select("g", F.lit(0).alias("side"), "node", "home", "copies", "v").unionByName(asked.select("g", F.lit(1).alias("side"), "node", "home", "copies", "v"))
 
     def compare(table: pa.Table) -> pa.Table:
-        own = Index(*shipped.value)
-        side, node, home = (table.column(c).to_numpy() for c in ("side", "node", "home"))
+        index = shipped.value.get(table.column("g")[0].as_py()["w"])
+        side, node, home, copies = (table.column(c).to_numpy() for c in ("side", "node", "home", "copies"))
         points = np.frombuffer(b"".join(table.column("v").to_pylist()), np.float64).reshape(len(node), -1)
         q, m = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         hit_q, hit_m = np.nonzero(points[q] @ points[m].T >= cosine)
         q, m = q[hit_q], m[hit_m]
         other = node[q] != node[m]
         q, m = q[other], m[other]
-        # the one called upon counts the link too, unless it calls back
-        at = np.unique(m)
-        rows_of, cells_of = own.visits(points[at]) if len(at) else (at, at)
-        known = set(zip(at[rows_of].tolist(), cells_of.tolist(), strict=True))
-        once = np.array([(a, b) not in known for a, b in zip(m.tolist(), home[q].tolist(), strict=True)], bool)
-        who = np.concatenate([node[q], node[m[once]]])
-        nodes, n = np.unique(who, return_counts=True)
+        # the one called upon counts the link too, unless it calls back; in a length without an index all call on all
+        if index is None:
+            once = np.zeros(len(m), bool)
+        else:
+            at = np.unique(m)
+            rows_of, cells_of = Index(*index).visits(points[at]) if len(at) else (at, at)
+            known = set(zip(at[rows_of].tolist(), cells_of.tolist(), strict=True))
+            once = np.array([(a, b) not in known for a, b in zip(m.tolist(), home[q].tolist(), strict=True)], bool)
+        nodes, back = np.unique(np.concatenate([node[q], node[m[once]]]), return_inverse=True)
+        n = np.zeros(len(nodes), np.int64)
+        np.add.at(n, back, np.concatenate([copies[m], copies[q[once]]]))
         # a spanning forest: the lowest of the labels of both ends, until nothing changes
         ends, flat = np.unique(np.concatenate([node[q], node[m]]), return_inverse=True)
         a, b = flat[: len(q)], flat[len(q) :]
@@ -222,12 +228,18 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
 
     found = stored(meet.groupBy("g").applyInArrow(compare, "node bigint, n bigint, root bigint"))
     links = found.where("root is null").groupBy("node").agg(F.sum("n").alias("n_links"))
+    # every vector and its class; an unusable vector is a class of its own
+    held = classes.select("label", "v", F.col("node").alias("class"), "copies")
+    known = every.where("v is not null").join(held, (every["label"] == held["label"]) & (every["v"] == held["v"])).select("key", "class", "copies")
+    ids = stored(known.unionByName(every.where("v is null").select("key", F.col("node").alias("class"), F.lit(1).cast("long").alias("copies"))))
     # rows that share an id are one node of the answer
-    ids = every.select("node", "key")
-    hubs = ids.where("key is not null").groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1")
-    same = ids.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    hubs = ids.where("key is not null").groupBy("key").agg(F.min("class").alias("hub"), F.count("*").alias("c")).where("c > 1")
+    same = ids.join(hubs, "key").where("class <> hub").select(F.col("class").alias("a"), F.col("hub").alias("b"))
     groups = components(found.where("root is not null").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(same))
-    full = ids.join(links, "node", "left").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = full.groupBy("component").agg(F.min("key").alias("component_id"))
-    out = full.join(least, "component").select(F.col("key").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("component_id").cast(kind).alias("component_id"))
+    least = ids.groupBy("class").agg(F.min("key").alias("key"), F.max("copies").alias("copies"))
+    by_class = least.join(links.withColumnRenamed("node", "class"), "class", "left").join(groups.withColumnRenamed("node", "class"), "class", "left")
+    by_class = stored(by_class.withColumn("component", F.coalesce("component", "class")))
+    first = by_class.groupBy("component").agg(F.min("key").alias("component_id"))
+    answers = stored(by_class.join(first, "component").select("class", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), "component_id"))
+    out = ids.join(answers, "class").select(F.col("key").alias(key), "n_links", F.col("component_id").cast(kind).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(False)))

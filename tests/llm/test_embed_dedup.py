@@ -78,3 +78,32 @@ def test_empty_and_unusable(spark):
     assert sorted(map(tuple, rows)) == [(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True)]
     rows = D.near_duplicates(spark.createDataFrame([(1, [2.0], 1, 0, 0), (2, [3.0], 1, 0, 0), (3, [-1.0], 1, 0, 0)], schema)).collect()
     assert sorted(map(tuple, rows)) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
+
+
+def test_lengths_are_kept_apart(spark):
+    draw = np.random.default_rng(5)
+    rows = []
+    for n, (length, many) in enumerate([(8, 300), (16, 120), (3, 9), (1, 3)]):
+        centres = draw.normal(size=(max(2, many // 6), length))
+        for i in range(many):
+            c = centres[i % len(centres)]
+            rows.append((len(rows), (c * (1 + n) + draw.normal(size=length) * 0.05 * np.linalg.norm(c) / np.sqrt(length)).tolist(), i % 2))
+    rows += [(len(rows) + i, [1.0, 2.0, 3.0], 1) for i in range(3)] + [(len(rows) + 3, [1.0, 2.0, 3.0] + [0.0] * 5, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    assert sorted(map(tuple, D.near_duplicates(df, target=0.99999).collect()), key=repr) == brute(rows, D.COSINE)
+
+
+def test_very_many_equal_vectors(spark):
+    draw = np.random.default_rng(6)
+    centre = draw.normal(size=8)
+    near = [(centre + draw.normal(size=8) * 0.02).tolist() for _ in range(5)]
+    rows = [(i, centre.tolist(), 1) for i in range(20_000)] + [(20_000 + i, x, 1) for i, x in enumerate(near)] + [(20_005 + i, draw.normal(size=8).tolist(), 1) for i in range(100)]
+    found = {r.vec_id: r for r in D.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), target=0.99999).collect()}
+    unit = np.array([x[1] for x in rows[20_000:]] + [centre])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    alike = unit @ unit.T >= D.COSINE
+    np.fill_diagonal(alike, False)
+    assert alike[-1, :5].all() and len(found) == len(rows)
+    assert all(found[i].n_links == 19_999 + alike[-1, :-1].sum() and found[i].component_id == 0 for i in range(20_000))
+    for k in range(105):
+        assert found[20_000 + k].n_links == alike[k, :-1].sum() + 20_000 * alike[k, -1]

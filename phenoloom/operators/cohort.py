@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +32,7 @@ SEVERE_IMBALANCE = 10.0
 
 # --- columns ---------------------------------------------------------------------------------------------------------
 
-#: Levels of the outcome that the report on prepared tables shows, most frequent first.
+#: Levels of the outcome that the short report on prepared tables shows, most frequent first; ``levels`` has all of them.
 SHOWN_LEVELS = 1000
 
 
@@ -318,6 +318,8 @@ class Prepared:
     val: DataFrame
     pheno_val: DataFrame
     info: dict
+    #: All outcome levels with their counts, a table for each part that has the outcome.
+    levels: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def prepare(
@@ -354,19 +356,21 @@ def prepare(
         {"pred_mode": mode, "outcome": outcome, "feature_names": [c for c in x_train.columns if c != key]},
     )
 
-    def levels(p: DataFrame) -> dict:
+    out.levels = {part: target_distribution(p, outcome) for part, p in (("train", p_train), ("val", p_val)) if outcome in p.columns}
+
+    def levels(part: str) -> dict:
         """The most frequent levels; a continuous outcome has as many as rows, and those stay in the table."""
-        if outcome not in p.columns:
+        if part not in out.levels:
             return {}
-        shown = target_distribution(p, outcome).orderBy(F.desc("n"), "level").limit(SHOWN_LEVELS)
+        shown = out.levels[part].orderBy(F.desc("n"), "level").limit(SHOWN_LEVELS)
         return {r["level"]: r["n"] for r in shown.collect()}
 
     out.info |= {
         "train_samples": out.train.count(),
         "val_samples": out.val.count(),
         "n_features": len(out.info["feature_names"]),
-        "target_distribution_train": levels(p_train),
-        "target_distribution_val": levels(p_val),
+        "target_distribution_train": levels("train"),
+        "target_distribution_val": levels("val"),
     }
     return out
 

@@ -33,6 +33,7 @@ from phenoloom.operators import linear as L
 from phenoloom.operators import trees as T
 from phenoloom.operators.resampling import balanced_weight, class_counts, repeated_folds, rose, stratified_folds
 from phenoloom.operators.shape import cells_from_arrays
+from phenoloom.sources.tables import list_files
 from phenoloom.session import materialise
 
 LABEL = "outcome"
@@ -677,6 +678,29 @@ def load_model(spark: SparkSession, path: str) -> Trained:
     return Trained(head["model"], PipelineModel.load(f"{path}/model"), features_of_model(spark, path), {}, spark.read.parquet(f"{path}/metrics"))
 
 
+def stored_models(spark: SparkSession, path: str) -> DataFrame:
+    """``folder, model, modified`` of every model saved below ``path``, from a listing of files: no model is read.
+
+    A model is complete once its feature names are written, which ``save_model`` does after the model itself.
+    """
+    files = list_files(spark, path, "*.parquet")
+    kept = files.where(F.col("path").rlike("/features/[^/]+$"))
+    folder = F.regexp_replace("path", "/features/[^/]+$", "")
+    out = kept.groupBy(folder.alias("folder")).agg(F.max("modified").alias("modified"))
+    return out.select("folder", F.substring_index("folder", "/", -1).alias("model"), "modified")
+
+
+def locate_model(spark: SparkSession, path: str, inside: str = "", newest: bool = False) -> str:
+    """The first model below ``path`` in the order of its folder's name, or the newest; ``inside`` must be one of its folders."""
+    found = stored_models(spark, path)
+    if inside:
+        found = found.where(F.concat(F.lit("/"), "folder", F.lit("/")).contains(f"/{inside}/"))
+    row = found.orderBy(F.desc("modified") if newest else F.col("folder"), "folder").first()
+    if row is None:
+        raise FileNotFoundError(f"no model below {path!r}" + (f" in {inside!r}" if inside else ""))
+    return row["folder"]
+
+
 # --- out-of-bag ------------------------------------------------------------------------------------------------------
 
 

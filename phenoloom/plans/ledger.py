@@ -13,9 +13,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from phenoloom.plans.digest import ROWS, differences, digests, stored_form
+
 LEDGER_SCHEMA = (
     "run_id string, step string, description string, started timestamp, ended timestamp, elapsed_s double, rows bigint, "
-    "path string, schema_json string, params map<string,string>, params_hash string, deleted boolean"
+    "path string, schema_json string, params map<string,string>, params_hash string, deleted boolean, digest string"
 )
 
 
@@ -67,7 +69,7 @@ class Run:
         path = f"{self.root}/{self.run_id}/{step}/{uuid.uuid4().hex}"
         data.write.option("compression", "snappy").parquet(path)
         saved = self.spark.read.parquet(path)
-        rows = saved.count()
+        content = digests(saved)
         ended = time.time()
         self._append(
             step=step,
@@ -75,9 +77,10 @@ class Run:
             started=datetime.fromtimestamp(begun, timezone.utc),
             ended=datetime.fromtimestamp(ended, timezone.utc),
             elapsed_s=ended - begun,
-            rows=rows,
+            rows=content[ROWS]["rows"],
             path=path,
             schema_json=saved.schema.json(),
+            digest=stored_form(content),
             params={k: str(v) for k, v in (params or {}).items()},
             params_hash=params_hash(params or {}),
         )
@@ -136,15 +139,24 @@ class Run:
         return self.save(make(), step=name, description=description, params=params, started=begun)
 
     def check(self) -> DataFrame:
-        """Read every step: is it there, has it rows, has it the recorded schema?"""
+        """Read every step: is it there, has it rows, has it the recorded schema and, cell by cell, the recorded content?"""
         out = []
         for row in self.steps().where("schema_json is not null").collect():
             try:
                 df = self.spark.read.parquet(row["path"])
-                n = df.count()
-                same = df.schema.json() == row["schema_json"]
-                ok = n > 0 and n == row["rows"] and same
-                message = "ok" if ok else "schema differs" if not same else f"{n} rows, {row['rows']} recorded"
+                now = digests(df)
+                n, same = now[ROWS]["rows"], df.schema.json() == row["schema_json"]
+                other = differences(now, row["digest"]) if same and row["digest"] else []
+                ok = n > 0 and n == row["rows"] and same and not other
+                if not same:
+                    message = "schema differs"
+                elif n != row["rows"] or not n:
+                    message = f"{n} rows, {row['rows']} recorded"
+                elif other:
+                    named = [c for c in other if c != ROWS]
+                    message = f"content of {', '.join(named)} differs" if named else "cells have changed places"
+                else:
+                    message = "ok"
                 out.append((row["step"], ok, n, message))
             except Exception as e:  # noqa: BLE001
                 out.append((row["step"], False, 0, str(e).split("\n")[0]))

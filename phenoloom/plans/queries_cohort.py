@@ -489,6 +489,32 @@ def run_log_counts(spark, sf):
 def run_log(spark, sf):
     path = scratch(spark)
     m = K.table(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("model")).agg(F.avg("o_totalprice").alias("mean"), F.count("*").alias("n"))
-    for key in ("mean", "n"):
-        IO.append_log(m.select("model", F.lit(key).alias("key"), F.col(key).alias("value")), path, "r1")
-    return spark.read.parquet(path)
+    for key in ("mean", "n", "mean"):  # a step that is run again is logged once
+        IO.append_log(m.select("model", F.lit(key).alias("key"), F.col(key).alias("value")), path, "r1", key)
+    return IO.read_log(spark, path)
+
+
+@query(
+    "run_log_compacted",
+    "SELECT 'r' || n_regionkey AS run_id, 'm' AS model, 'n' AS key, CAST(count(*) AS DOUBLE) AS value FROM nation GROUP BY 1",
+)
+def run_log_compacted(spark, sf):
+    """Entries before and after a compaction; one of them replaces what the snapshot holds."""
+    path = scratch(spark)
+    n = K.table(spark, sf, "nation")
+    for k in (0, 1, 2):
+        wrong = F.lit(-1) if k == 1 else F.count("*")
+        IO.append_log(n.where(F.col("n_regionkey") == k).agg(F.lit("m").alias("model"), F.lit("n").alias("key"), wrong.alias("value")), path, f"r{k}", "count")
+    IO.compact_log(spark, path)
+    for k in (1, 3, 4):
+        IO.append_log(n.where(F.col("n_regionkey") == k).agg(F.lit("m").alias("model"), F.lit("n").alias("key"), F.count("*").alias("value")), path, f"r{k}", "count")
+    return IO.read_log(spark, path)
+
+
+@query("files_listed", "SELECT 'part=' || n_regionkey AS part, 1::BIGINT AS files, true AS filled FROM nation GROUP BY 1")
+def files_listed(spark, sf):
+    """The files of a partitioned table, from their names and sizes alone."""
+    path = scratch(spark)
+    K.table(spark, sf, "nation").withColumn("part", F.col("n_regionkey")).repartition(1).write.partitionBy("part").parquet(path)
+    found = IO.list_files(spark, path, "*.parquet")
+    return found.groupBy(F.regexp_extract("path", "(part=[^/]*)/", 1).alias("part")).agg(F.count("*").alias("files"), F.bool_and(F.col("bytes") > 0).alias("filled"))

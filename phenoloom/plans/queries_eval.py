@@ -10,6 +10,7 @@ from phenoloom.operators import resampling as R
 from phenoloom.operators.shape import cells_from_arrays
 from phenoloom.plans import cohorts as K
 from phenoloom.plans import ledger as L
+from phenoloom.plans.digest import digest_table
 from phenoloom.plans.registry import query, tidy
 from phenoloom.plans.queries_cohort import scratch
 
@@ -401,6 +402,44 @@ def integrity_check(spark, sf):
     return run.check().select("step", "valid", F.col("rows_found").alias("rows"))
 
 
+_CELLS = {"c_custkey": "CAST(c_custkey AS VARCHAR)", "c_name": "c_name", "c_nationkey": "CAST(c_nationkey AS VARCHAR)", "c_mktsegment": "c_mktsegment"}
+
+
+@query(
+    "table_digest",
+    f"""WITH c AS (SELECT *, CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS name FROM customer),
+ h AS (SELECT {", ".join(f"('0x' || md5(coalesce('=' || {x.replace('c_name', 'name')}, '-'))[1:15])::BIGINT AS {n}" for n, x in _CELLS.items())}, name IS NULL AS gone FROM c),
+ r AS (SELECT *, ('0x' || md5(concat_ws('|', {", ".join(_CELLS)}))[1:15])::BIGINT AS "*" FROM h),
+ l AS (UNPIVOT r ON {", ".join(_CELLS)}, "*" INTO NAME "column" VALUE v)
+ SELECT "column", count(*) AS rows, CAST(sum(CASE WHEN gone AND "column" = 'c_name' THEN 1 ELSE 0 END) AS BIGINT) AS nulls, CAST(sum(v) AS VARCHAR) AS sum, bit_xor(v) AS xor FROM l GROUP BY 1""",
+)
+def table_digest(spark, sf):
+    """Sums and exclusive ors of the hashes of all cells and rows, with nulls in one column."""
+    c = K.table(spark, sf, "customer").select(*_CELLS).withColumn("c_name", F.when(F.col("c_custkey") % 7 != 0, F.col("c_name")))
+    return digest_table(c.repartition(5))
+
+
+@query(
+    "integrity_by_content",
+    """SELECT unnest(['altered', 'kept', 'lost', 'swapped']) AS step, unnest([false, true, false, false]) AS valid, unnest(['content of c_name differs', 'ok',
+ count(*) - 1 || ' rows, ' || count(*) || ' recorded', 'content of c_mktsegment, c_name differs']) AS message FROM customer HAVING count(*) > 1""",
+)
+def integrity_by_content(spark, sf):
+    """Stored steps whose files were changed behind the ledger: one cell, nothing, one row lost, two columns exchanged."""
+    run = L.Run(spark, scratch(spark), "r1")
+    c = K.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    one = c.agg(F.min("c_custkey").alias("k")).first()["k"]
+    changed = {
+        "kept": None, "altered": c.withColumn("c_name", F.when(F.col("c_custkey") == one, "nobody").otherwise(F.col("c_name"))), "lost": c.where(F.col("c_custkey") != one),
+        "swapped": c.select("c_custkey", F.col("c_mktsegment").alias("c_name"), F.col("c_name").alias("c_mktsegment")),
+    }
+    for step, other in changed.items():
+        run.save(c, step=step)
+        if other is not None:
+            other.write.mode("overwrite").parquet(run.info(step)["path"])
+    return run.check().select("step", "valid", "message")
+
+
 @query(
     "step_delete",
     "SELECT 'kept' AS step, true AS listed, true AS files, count(*) AS rows FROM nation UNION ALL SELECT 'dropped', false, false, CAST(NULL AS BIGINT)",

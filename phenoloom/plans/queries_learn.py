@@ -304,6 +304,38 @@ def oob_score(spark, sf):
     )
 
 
+@query(
+    "locate_model",
+    "SELECT unnest(['comb', 'prot_only', 'newest']) AS asked, unnest(['comb/a_linear', 'prot_only/b_linear', 'prot_only/c_linear']) AS found, count(*) > 0 AS usable FROM labels",
+)
+def locate_model(spark, sf):
+    """Saved models found by a listing of their files: the first of each mode, and the newest of all; each is read and applied."""
+    frame, names = doc_frame(spark, sf)
+    root = scratch(spark)
+    fitted = M.fit(frame, "logistic_regression", {"maxIter": 5}, scale=True)
+    metrics = spark.createDataFrame([], M.METRIC_SCHEMA)
+    for place in ("prot_only/b_linear", "comb/d_linear", "comb/a_linear", "prot_only/c_linear"):
+        M.save_model(M.Trained("logistic_regression", fitted, names, {}, metrics), f"{root}/{place}")
+    found = {mode: M.locate_model(spark, root, mode) for mode in ("comb", "prot_only")} | {"newest": M.locate_model(spark, root, newest=True)}
+    rows = [(asked, "/".join(path.split("/")[-2:]), M.predict(M.load_model(spark, path).model, frame, [KEY]).count() > 0) for asked, path in found.items()]
+    return spark.createDataFrame(rows, "asked string, found string, usable boolean")
+
+
+@query("streamed_scores", "SELECT CAST(l.quality AS BIGINT) AS outcome, count(*) AS n, true AS same FROM documents d JOIN labels l USING (doc_id) GROUP BY 1")
+def streamed_scores(spark, sf):
+    """Rows that arrive as files are scored by a stream until all are done; batch scores are the same."""
+    frame, names = doc_frame(spark, sf)
+    fitted = M.fit(frame, "random_forest", FOREST)
+    root = scratch(spark)
+    frame.repartition(6).write.parquet(f"{root}/in")
+    arriving = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+    scored = M.predict(fitted, arriving, [KEY, M.LABEL])
+    scored.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+    streamed = spark.read.schema(scored.schema).parquet(f"{root}/out").select(KEY, F.col(M.LABEL).alias("outcome"), F.col("score").alias("streamed"))
+    both = streamed.join(M.predict(fitted, frame, [KEY]), KEY, "full")
+    return tidy(both.groupBy("outcome").agg(F.count("*").alias("n"), F.bool_and(F.coalesce(F.col("score") == F.col("streamed"), F.lit(False))).alias("same")))
+
+
 @query("best_threshold_of_model")
 def best_threshold_of_model(spark, sf):
     frame, names = doc_frame(spark, sf)

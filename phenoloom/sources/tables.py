@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -111,11 +114,66 @@ def read_names(spark: SparkSession, path: str, name: str = "feature") -> DataFra
     return spark.read.text(path).withColumnRenamed("value", name)
 
 
-def append_log(rows: DataFrame, path: str, run_id: str) -> None:
-    """Append ``(run_id, model, key, value)``, values to four decimals."""
-    rows.select(
-        F.lit(run_id).alias("run_id"), "model", "key", F.round(F.col("value").cast("double"), 4).alias("value")
-    ).write.mode("append").parquet(path)
+_MANIFEST = "entry string, kind string, folder string, committed timestamp"
+
+
+def append_log(rows: DataFrame, path: str, run_id: str, step: str) -> None:
+    """Add ``(run_id, model, key, value)``, values to four decimals, as the entry of one step of a run.
+
+    The rows go to a folder of their own, and the entry exists once its line is in the manifest: a job that died before
+    leaves nothing to see, and a step that is logged again replaces its entry.
+    """
+    entry, folder = f"{run_id}/{step}", f"entries/{uuid.uuid4().hex}"
+    values = rows.select(F.lit(entry).alias("entry"), F.lit(run_id).alias("run_id"), "model", "key", F.round(F.col("value").cast("double"), 4).alias("value"))
+    values.write.parquet(f"{path}/{folder}")
+    _commit(rows.sparkSession, path, entry, "entry", folder)
+
+
+def _commit(spark: SparkSession, path: str, entry: str, kind: str, folder: str) -> None:
+    now = datetime.now(timezone.utc)
+    spark.createDataFrame([(entry, kind, folder, now)], _MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+
+
+def _visible(spark: SparkSession, path: str) -> tuple[str | None, list[tuple[str, str]]]:
+    """The last snapshot's folder, and the entries committed since, each with the folder of its last version."""
+    try:
+        lines = spark.read.schema(_MANIFEST).parquet(f"{path}/manifest").orderBy("committed", "folder").collect()
+    except AnalysisException:
+        return None, []
+    at = max((i for i, r in enumerate(lines) if r["kind"] == "snapshot"), default=None)
+    since = lines if at is None else lines[at + 1 :]
+    return None if at is None else lines[at]["folder"], list({r["entry"]: r["folder"] for r in since}.items())
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """All committed entries, each in its last version."""
+    return _read_log(spark, path).drop("entry")
+
+
+def _read_log(spark: SparkSession, path: str) -> DataFrame:
+    schema = "entry string, run_id string, model string, key string, value double"
+    snapshot, entries = _visible(spark, path)
+    out = spark.read.schema(schema).parquet(*[f"{path}/{f}" for _, f in entries]) if entries else spark.createDataFrame([], schema)
+    if snapshot is None:
+        return out
+    older = spark.read.schema(schema).parquet(f"{path}/{snapshot}")
+    return out.unionByName(older.where(~F.col("entry").isin([e for e, _ in entries])) if entries else older)
+
+
+def compact_log(spark: SparkSession, path: str) -> None:
+    """Write what is visible into one folder, a snapshot; entries committed later come on top of it.
+
+    Folders that were read before stay, as a reader may still hold them. One job compacts at a time.
+    """
+    folder = f"snapshots/{uuid.uuid4().hex}"
+    _read_log(spark, path).coalesce(1).write.parquet(f"{path}/{folder}")
+    _commit(spark, path, "", "snapshot", folder)
+
+
+def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """``path, name, modified, bytes`` of all files below a folder whose name fits; no content is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    return found.select("path", F.substring_index("path", "/", -1).alias("name"), F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
 
 
 def log_facts(model: str, features: Sequence[str], train: DataFrame, val: DataFrame, outcome: str, eliminated: bool) -> DataFrame:

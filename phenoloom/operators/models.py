@@ -6,6 +6,7 @@ grids run from driver threads over one persisted frame; all their predictions ar
 
 from __future__ import annotations
 
+import base64
 import itertools
 import math
 import warnings
@@ -94,7 +95,7 @@ RECIPES: dict[str, Recipe] = {
     ),
     "svm": Recipe(
         LinearSVC,
-        {"maxIter": 100, "C": 1.0, "gamma": "scale", "kernel": "rbf", "n_random": 256},
+        {"maxIter": 100, "C": 1.0, "gamma": "scale", "kernel": "rbf", "n_random": 256, "approximation": "landmarks"},
         True,
         {"C": [0.1, 1.0, 10.0], "gamma": ["scale", "auto", 0.001, 0.01], "kernel": ["rbf", "linear"]},
     ),
@@ -139,6 +140,80 @@ class RandomFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         return dataset.withColumn("kernel_features", array_to_vector(lift(vector_to_array(self.getOrDefault(self.source)))))
 
 
+#: Rows of the bounded sample that landmarks are drawn from, and of the one that the kernel's error is measured on.
+LANDMARK_SAMPLE, ERROR_SAMPLE = 2000, 300
+
+
+class LandmarkFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Nystroem features of the Gaussian kernel: kernels with landmark rows, whitened by the landmarks' own kernel.
+
+    Inner products of the features are the kernel between landmarks, and its best approximation from them elsewhere.
+    ``error`` holds the mean and the greatest difference from the kernel between rows that were not drawn from.
+    """
+
+    def __init__(self, landmarks: np.ndarray | None = None, gamma: float = 1.0, source: str = "features", error: Sequence[float] = (0.0, 0.0)) -> None:
+        super().__init__()
+        self.source = Param(self, "source", "vector column", TypeConverters.toString)
+        self.gamma = Param(self, "gamma", "kernel width", TypeConverters.toFloat)
+        self.landmarks = Param(self, "landmarks", "rows, as bytes of doubles", TypeConverters.toString)
+        self.width = Param(self, "width", "features of a landmark", TypeConverters.toInt)
+        self.error = Param(self, "error", "mean and greatest error of the kernel", TypeConverters.toListFloat)
+        rows = np.zeros((0, 1)) if landmarks is None else np.ascontiguousarray(landmarks, float)
+        self._set(gamma=gamma, source=source, landmarks=base64.b64encode(rows.tobytes()).decode(), width=rows.shape[1], error=[float(x) for x in error])
+
+    def rows(self) -> np.ndarray:
+        return np.frombuffer(base64.b64decode(self.getOrDefault(self.landmarks)), float).reshape(-1, self.getOrDefault(self.width))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        landmarks, gamma = self.rows(), self.getOrDefault(self.gamma)
+        white = whitening(landmarks, gamma)
+
+        @F.pandas_udf(ArrayType(DoubleType()))
+        def lift(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for x in batches:
+                yield pd.Series(list(gaussian(np.stack(x.to_numpy()), landmarks, gamma) @ white) if len(x) else [], dtype=object)
+
+        return dataset.withColumn("kernel_features", array_to_vector(lift(vector_to_array(self.getOrDefault(self.source)))))
+
+
+def gaussian(a: np.ndarray, b: np.ndarray, gamma: float) -> np.ndarray:
+    far = (a * a).sum(1)[:, None] + (b * b).sum(1)[None] - 2.0 * a @ b.T
+    return np.exp(-gamma * np.maximum(far, 0.0))
+
+
+def whitening(landmarks: np.ndarray, gamma: float) -> np.ndarray:
+    """The inverse square root of the landmarks' kernel; directions that repeat others are left out."""
+    values, vectors = np.linalg.eigh(gaussian(landmarks, landmarks, gamma))
+    kept = values > 1e-10 * values.max()
+    return vectors[:, kept] / np.sqrt(values[kept])
+
+
+def draw_landmarks(data: DataFrame, column: str, gamma: float, size: int, seed: int, ridge: float = 1e-3) -> LandmarkFeatures:
+    """Landmarks from a bounded sample by their ridge leverage: rows that others do not stand for are likelier.
+
+    The sample holds distinct rows in the order of a hash, and another one like it measures the error.
+    """
+    values = vector_to_array(column)
+    some = data.select(values.alias("x")).distinct().orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(max(size, LANDMARK_SAMPLE) + ERROR_SAMPLE).collect()
+    x = np.array([r["x"] for r in some], float)
+    if len(x) <= size:
+        return LandmarkFeatures(x, gamma, column, kernel_error(x[:ERROR_SAMPLE], x, gamma))
+    n = max(size, len(x) - ERROR_SAMPLE)
+    pool, rest = x[:n], x[n:]
+    kernel = gaussian(pool, pool, gamma)
+    leverage = np.maximum(1.0 - np.diag(np.linalg.inv(np.eye(n) + kernel / (ridge * n))), 1e-12)
+    # the greatest of independent exponential races: draws without replacement in proportion to leverage
+    race = np.random.default_rng(seed).exponential(size=n) / leverage
+    chosen = pool[np.sort(np.argsort(race)[:size])]
+    return LandmarkFeatures(chosen, gamma, column, kernel_error(rest if len(rest) else pool[:ERROR_SAMPLE], chosen, gamma))
+
+
+def kernel_error(rows: np.ndarray, landmarks: np.ndarray, gamma: float) -> tuple[float, float]:
+    lifted = gaussian(rows, landmarks, gamma) @ whitening(landmarks, gamma)
+    off = np.abs(gaussian(rows, rows, gamma) - lifted @ lifted.T)
+    return float(off.mean()), float(off.max())
+
+
 def kernel_width(gamma, frame: DataFrame) -> float:
     """A number, ``auto`` = 1/d, or ``scale`` = 1/(d var of all cells)."""
     if isinstance(gamma, (int, float)):
@@ -256,7 +331,9 @@ def _fit_svm(data: DataFrame, before: list, column: str, p: dict, rows: int, see
     stages = list(before)
     if p["kernel"] == "rbf":
         gamma = kernel_width(p["gamma"], data.select(vector_to_array(column).alias("features")))
-        lift = RandomFeatures(gamma, p["n_random"], seed, column)
+        if p["approximation"] not in ("landmarks", "random"):
+            raise ValueError(f"invalid approximation {p['approximation']!r}")
+        lift = RandomFeatures(gamma, p["n_random"], seed, column) if p["approximation"] == "random" else draw_landmarks(data, column, gamma, p["n_random"], seed)
         stages.append(lift)
         data, column = lift.transform(data), "kernel_features"
     elif p["kernel"] != "linear":

@@ -48,7 +48,8 @@ class Run:
 
     @property
     def ledger_path(self) -> str:
-        return f"{self.root}/ledger"
+        """A folder for each run: runs side by side neither wait for each other nor read each other's rows."""
+        return f"{self.root}/ledger/run={self.run_id}"
 
     def ledger(self) -> DataFrame:
         try:
@@ -61,7 +62,7 @@ class Run:
         base = dict.fromkeys((p.split()[0] for p in LEDGER_SCHEMA.split(", ")), None) | {"run_id": self.run_id, "deleted": False}
         row = base | row
         names = [p.split()[0] for p in LEDGER_SCHEMA.split(", ")]
-        self.spark.createDataFrame([tuple(row[n] for n in names)], LEDGER_SCHEMA).write.mode("append").parquet(self.ledger_path)
+        self.spark.createDataFrame([tuple(row[n] for n in names)], LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.ledger_path)
 
     def save(self, data: DataFrame, *, step: str, description: str = "", params: dict | None = None, started: float | None = None) -> DataFrame:
         """Write a step table, record it, and return it as read back."""
@@ -177,6 +178,11 @@ class Run:
         return out
 
 
+def ledger_of(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of all runs under ``root``."""
+    return spark.read.option("recursiveFileLookup", True).schema(LEDGER_SCHEMA).parquet(f"{root.rstrip('/')}/ledger")
+
+
 def latest_steps(ledger: DataFrame) -> DataFrame:
     """The last row per run and step. An aggregate, so a long history is combined on the map side."""
     rest = [c for c in ledger.columns if c not in ("run_id", "step")]

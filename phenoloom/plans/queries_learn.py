@@ -355,6 +355,33 @@ def end_to_end(spark, sf):
     return out.ledger().select("step", "rows")
 
 
+@query(
+    "studies",
+    f"""WITH n AS (SELECT count(*) AS n FROM documents d JOIN labels l USING (doc_id)), o AS (SELECT unnest(['quality', 'toxic']) AS outcome),
+ m AS (SELECT unnest(['prot_only', 'sexagebmi', 'comb']) AS mode, unnest([{len(K.DOC_FEATURES)}, 3, {len(K.DOC_FEATURES) + 3}]) AS features),
+ s AS (SELECT unnest(['data_loading', 'feature_names', 'pwas_analysis']) AS step),
+ steps AS (SELECT outcome || '-' || mode AS run_id, step, CASE step WHEN 'data_loading' THEN n WHEN 'feature_names' THEN features ELSE {len(K.DOC_FEATURES)} END AS rows
+  FROM o, m, s, n WHERE mode <> 'sexagebmi' OR step <> 'pwas_analysis')
+ SELECT run_id, step, CAST(rows AS BIGINT) AS rows, 1::BIGINT AS times FROM steps UNION ALL SELECT outcome || '-shared', 'aligned', n, 1 FROM o, n""",
+)
+def studies(spark, sf):
+    """Two outcomes in three modes, called twice: shared rows are made once, and the second call makes nothing anew."""
+    from phenoloom.plans.ledger import ledger_of
+    from phenoloom.plans.study import Settings, run_studies
+
+    c = K.docs(spark, sf).stored()
+    k, labels = F.col("doc_id"), K.table(spark, sf, "labels")
+    facts = [k.alias(KEY), (20 + k % 60).alias("age"), (k % 2).alias("sex"), (18 + k % 13).cast("double").alias("bmi")]
+    outcomes = {o: labels.select(*facts, F.col(o).alias("outcome")) for o in ("quality", "toxic")}
+    settings = Settings(forest={"numTrees": 5, "maxDepth": 3}, folds=2, repeats=1, eliminate=False, kept=3, models=("logistic_regression",))
+    root = scratch(spark)
+    for _ in range(2):
+        run_studies(spark, root, outcomes, c.matrix, c.names, settings=settings, side_by_side=6)
+    ledger = ledger_of(spark, root)
+    wanted = F.col("step").isin("aligned", "data_loading", "feature_names", "pwas_analysis")
+    return tidy(ledger.where(wanted).groupBy("run_id", "step").agg(F.max("rows").alias("rows"), F.count("*").alias("times")))
+
+
 @query("association_of_trained_features")
 def association_of_trained_features(spark, sf):
     frame, names = doc_frame(spark, sf)

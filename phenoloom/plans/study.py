@@ -1,10 +1,12 @@
-"""A whole study of one outcome in one predictor mode, step by step, each step stored and resumable."""
+"""Whole studies, of one outcome in one predictor mode or of all of them, step by step, each step stored and resumable."""
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -223,6 +225,71 @@ def _select_features(run, params, s: Settings, train, names, tested, covs, pheno
     return "rfe_feature_selection", list(dict.fromkeys([*final, *covs]))
 
 
+def shared_rows(spark: SparkSession, root: str, outcome: str, matrix: DataFrame, pheno: DataFrame) -> DataFrame:
+    """What all modes of an outcome start from, stored once: the matrix next to the phenotypes of the samples with an outcome."""
+    run = Run(spark, root, f"{outcome}-shared")
+
+    def align() -> DataFrame:
+        C.require_overlap(matrix, pheno, KEY, "study")
+        return matrix.select(KEY, "features").join(pheno.where(F.col(M.LABEL).isNotNull()), KEY)
+
+    return run.step("aligned", {"outcome": outcome, "columns": sorted(pheno.columns)}, align, "matrix and phenotypes")
+
+
+@dataclass
+class Studies:
+    """What became of each ``(outcome, mode)``: its run, or the error that stopped it."""
+
+    runs: dict[tuple[str, str], Run]
+    errors: dict[tuple[str, str], str]
+    models: Sequence[str]
+
+    def metrics(self) -> DataFrame | None:
+        """The metrics of all models of the finished studies."""
+        parts = [
+            run.load(f"model_{model}").select(F.lit(outcome).alias("outcome"), F.lit(mode).alias("mode"), "*")
+            for (outcome, mode), run in sorted(self.runs.items()) for model in self.models
+        ]
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def run_all_studies(
+    spark: SparkSession,
+    root: str,
+    outcomes: dict[str, DataFrame],
+    matrix: DataFrame,
+    names: Sequence[str],
+    modes: Sequence[str] = C.PRED_MODES,
+    annotation: DataFrame | None = None,
+    settings: Settings = Settings(),
+    side_by_side: int = 3,
+) -> Studies:
+    """All outcomes in all modes, ``side_by_side`` at a time, each in a scheduler pool of its own.
+
+    The modes of an outcome share its aligned rows, which are made once, by whichever mode comes first. A study that fails
+    stops no other. All state is in the ledger: called again with the same settings, after an error or with a new driver,
+    it goes on where each study was.
+    """
+    once = {outcome: threading.Lock() for outcome in outcomes}
+    done = Studies({}, {}, settings.models)
+
+    def study(outcome: str, mode: str) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{outcome}-{mode}")
+        try:
+            with once[outcome]:
+                rows = shared_rows(spark, root, outcome, matrix, outcomes[outcome])
+            done.runs[outcome, mode] = run_study(spark, root, outcome, rows.select(KEY, "features"), names, rows.drop("features"), annotation, mode, settings)
+        except Exception as e:  # noqa: BLE001
+            done.errors[outcome, mode] = str(e).split("\n")[0]
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    # one outcome's modes do not queue behind each other's shared step: outcomes alternate
+    jobs = [(outcome, mode) for mode in modes for outcome in outcomes]
+    M.run_all([lambda j=j: study(*j) for j in jobs], side_by_side)
+    return done
+
+
 def run_studies(
     spark: SparkSession,
     root: str,
@@ -232,13 +299,10 @@ def run_studies(
     modes: Sequence[str] = C.PRED_MODES,
     annotation: DataFrame | None = None,
     settings: Settings = Settings(),
+    side_by_side: int = 3,
 ) -> DataFrame:
-    """All outcomes in all modes; the metrics of all models in one table."""
-    out = None
-    for outcome, pheno in outcomes.items():
-        for mode in modes:
-            run = run_study(spark, root, outcome, matrix, names, pheno, annotation, mode, settings)
-            for model in settings.models:
-                m = run.load(f"model_{model}").select(F.lit(outcome).alias("outcome"), F.lit(mode).alias("mode"), "*")
-                out = m if out is None else out.unionByName(m)
-    return out
+    """All outcomes in all modes; the metrics of all models in one table. If any study failed, an error after the last one."""
+    done = run_all_studies(spark, root, outcomes, matrix, names, modes, annotation, settings, side_by_side)
+    if done.errors:
+        raise RuntimeError("; ".join(f"{outcome} {mode}: {e}" for (outcome, mode), e in sorted(done.errors.items())))
+    return done.metrics()

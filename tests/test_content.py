@@ -43,7 +43,7 @@ def test_older_ledgers_have_no_digest(spark, table, tmp_path):
     run = Run(spark, str(tmp_path), "old")
     run.save(table, step="a")
     plain = spark.read.parquet(run.ledger_path).drop("digest").collect()
-    spark.createDataFrame(plain, ", ".join(p for p in "run_id string, step string, description string, started timestamp, ended timestamp, elapsed_s double, rows bigint, path string, schema_json string, params map<string,string>, params_hash string, deleted boolean".split(", "))).write.parquet(str(tmp_path / "more" / "ledger"))
+    spark.createDataFrame(plain, ", ".join(p for p in "run_id string, step string, description string, started timestamp, ended timestamp, elapsed_s double, rows bigint, path string, schema_json string, params map<string,string>, params_hash string, deleted boolean".split(", "))).write.parquet(Run(spark, str(tmp_path / "more"), "old").ledger_path)
     again = Run(spark, str(tmp_path / "more"), "old")
     assert again.check().first().asDict() == {"step": "a", "valid": True, "rows_found": 200, "message": "ok"}
 

@@ -194,18 +194,29 @@ def draw_landmarks(data: DataFrame, column: str, gamma: float, size: int, seed:
     The sample holds distinct rows in the order of a hash, and another one like it measures the error.
     """
     values = vector_to_array(column)
-    some = data.select(values.alias("x")).distinct().orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(max(size, LANDMARK_SAMPLE) + ERROR_SAMPLE).collect()
-    x = np.array([r["x"] for r in some], float)
-    if len(x) <= size:
-        return LandmarkFeatures(x, gamma, column, kernel_error(x[:ERROR_SAMPLE], x, gamma))
-    n = max(size, len(x) - ERROR_SAMPLE)
-    pool, rest = x[:n], x[n:]
-    kernel = gaussian(pool, pool, gamma)
-    leverage = np.maximum(1.0 - np.diag(np.linalg.inv(np.eye(n) + kernel / (ridge * n))), 1e-12)
-    # the greatest of independent exponential races: draws without replacement in proportion to leverage
-    race = np.random.default_rng(seed).exponential(size=n) / leverage
-    chosen = pool[np.sort(np.argsort(race)[:size])]
-    return LandmarkFeatures(chosen, gamma, column, kernel_error(rest if len(rest) else pool[:ERROR_SAMPLE], chosen, gamma))
+    sample = data.select(values.alias("x")).distinct().orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(max(size, LANDMARK_SAMPLE) + ERROR_SAMPLE)
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [r for batch in batches for r in batch["x"]]
+        if not rows:
+            return
+        x = np.array([list(r) for r in rows], float)
+        n = len(x) if len(x) <= size else max(size, len(x) - ERROR_SAMPLE)
+        chosen, rest = x[:n], x[n:]
+        if n > size:
+            kernel = gaussian(chosen, chosen, gamma)
+            leverage = np.maximum(1.0 - np.diag(np.linalg.inv(np.eye(n) + kernel / (ridge * n))), 1e-12)
+            # the shortest of independent exponential races: draws without replacement in proportion to leverage
+            race = np.random.default_rng(seed).exponential(size=n) / leverage
+            chosen = chosen[np.sort(np.argsort(race)[:size])]
+        mean, most = kernel_error(rest if len(rest) else x[:ERROR_SAMPLE], chosen, gamma)
+        yield pd.DataFrame({"x": list(chosen), "mean": mean, "most": most})
+
+    # one task on a sample of bounded size
+    drawn = sample.coalesce(1).mapInPandas(draw, "x array<double>, mean double, most double").collect()
+    if not drawn:
+        raise ValueError("there are no rows to draw landmarks from")
+    return LandmarkFeatures(np.array([r["x"] for r in drawn], float), gamma, column, (drawn[0]["mean"], drawn[0]["most"]))
 
 
 def kernel_error(rows: np.ndarray, landmarks: np.ndarray, gamma: float) -> tuple[float, float]:
@@ -341,6 +352,8 @@ def _fit_svm(data: DataFrame, before: list, column: str, p: dict, rows: int, see
     svc = LinearSVC(
         featuresCol=column, labelCol=LABEL, weightCol="weight", maxIter=p["maxIter"], regParam=1.0 / (p["C"] * rows),
         rawPredictionCol="margin", predictionCol="margin_side",
+        # the kernel's own norm is the penalty; it would change if its features were scaled
+        standardization=p["kernel"] == "linear",
     )
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:

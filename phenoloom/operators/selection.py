@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from phenoloom.operators import evaluation as E
 from phenoloom.operators import models as M
+from phenoloom.operators import trees as T
 from phenoloom.operators.association import anova, variances
-from phenoloom.operators.ordered import hashed_rank
+from phenoloom.operators.ordered import SLICE, accumulate, hashed_rank, slice_by_order
 from phenoloom.operators.shape import cells_from_arrays, slice_arrays
 from phenoloom.session import materialise
 
@@ -111,6 +112,51 @@ def corrected_importance(frame: DataFrame, names: Sequence[str], key: str, param
     return frame.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
+def shadow_importance(
+    frame: DataFrame,
+    names: Sequence[str],
+    key: str,
+    label: str = M.LABEL,
+    trees: int = FOREST_TREES,
+    depth: int | None = None,
+    seed: int = M.SEED,
+    **how,
+) -> DataFrame:
+    """``feature, importance, n_own, n_shadow``: decrease of impurity, corrected by shadows drawn in each node, per tree.
+
+    In every node the drawn features compete with shadows of themselves. The gain counts for a feature that wins and
+    against one whose shadow wins, so a feature without relation to the outcome gets zero on average whatever its
+    number of values. Rows are as wide as before: a shadow needs the sums of a node's bins only. A feature that neither
+    won nor lost a node has 0.
+    """
+    spark = frame.sparkSession
+    _, credits = T.shadowed_forest(frame, key, label, trees=trees, depth=depth, seed=seed, **how)
+    own, gain, lost = [0] * len(names), [0.0] * len(names), [0] * len(names)
+    for _, _, f, g in credits:
+        own[f], lost[f], gain[f] = own[f] + (g > 0), lost[f] + (g < 0), gain[f] + g / trees
+    return spark.createDataFrame(list(zip(names, gain, own, lost)), "feature string, importance double, n_own long, n_shadow long")
+
+
+def mirrored_p_values(table: DataFrame, value: str = "importance", by: Sequence[str] = (), out: str = "p_value") -> DataFrame:
+    """Adds the chance of an importance this high if the feature has no relation to the outcome (Janitza et al. 2018).
+
+    Importances below zero come from chance alone; they, their mirror images and the zeros are the null distribution of
+    their group ``by``. ``out`` is the share of it that is not below a value. It is null for a null or NaN importance,
+    and in a group whose importances are all positive. Equal values are collapsed before they are ordered.
+    """
+    grouped = table.withColumn("_group", F.struct(*by) if by else F.lit(0))
+    known = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
+    number = F.col(value).cast("double") + F.lit(0.0)  # -0.0 and 0.0 are one value
+    chance, itself = (lambda v: F.struct(v.alias("_value"), F.lit(1).alias("_null"))), F.struct(number.alias("_value"), F.lit(0).alias("_null"))
+    sides = F.when(number > 0, F.array(itself)).when(number < 0, F.array(chance(number), chance(-number))).otherwise(F.array(chance(number)))
+    merged = grouped.where(known).select("_group", F.inline(sides)).groupBy("_group", "_value").agg(F.sum("_null").cast("long").alias("_null"))
+    order, group = [F.col("_value")], ["_group"]
+    above = accumulate(slice_by_order(merged, order, group), order, {"_above": ("sum", F.col("_null"))}, group, backward=True).drop(SLICE)
+    whole = above.groupBy("_group").agg(F.sum("_null").alias("_all"))
+    found = above.join(whole, "_group").select("_group", "_value", F.when(F.col("_all") > 0, F.col("_above") / F.col("_all")).alias(out))
+    return grouped.drop(out).withColumn("_value", F.when(known, number)).join(found, ["_group", "_value"], "left").drop("_group", "_value")
+
+
 def repeated_importance(
     frame: DataFrame,
     names: Sequence[str],

@@ -11,6 +11,10 @@ to above the parent's. Boosting puts the gradient and the Hessian of the log los
 ``-a / (b + l2)``; a forest puts the weight of the cases and of all rows, which makes the gain half the decrease of the Gini
 impurity and a leaf the share of cases. Missing values (null or NaN) go to the side where they gain more.
 
+A forest can also draw a shadow of each feature in every node: the cases of the node are dealt anew to the bins of the
+feature, whose sums are all that this takes. A shadow has the feature's bins and no relation to the outcome, so what it
+gains is what the feature would gain by chance (see :func:`shadowed_forest`).
+
 Which rows a tree is grown on follows from a hash of the row and the number of the tree, so a row's trees are known later
 on: a forest is scored out of bag by the very trees that it consists of.
 """
@@ -251,6 +255,7 @@ class Rules:
     share: float = 1.0
     newton: bool = True
     seed: int = 0
+    shadows: bool = False
 
     def leaf(self, a: float, b: float) -> float:
         if b + self.l2 <= 0:
@@ -298,19 +303,59 @@ def _sums(rules: Rules, trees: Trees, numbers: list[int], slots: dict[int, int],
     return each
 
 
-def best_cuts(sums: DataFrame, rules: Rules) -> DataFrame:
+#: Rows of a node below which its cases are dealt to bins exactly; above, by the normal limit of each bin's share.
+EXACT_DEAL = 10**9
+
+
+def dealt(rows: np.ndarray, cases: int, rng: np.random.Generator, exact_below: int = EXACT_DEAL) -> np.ndarray:
+    """``cases`` of all ``rows``, drawn without return: how many fall into each bin of so many rows."""
+    total = int(rows.sum())
+    if total < exact_below:
+        return rng.multivariate_hypergeometric(rows, cases, method="marginals")
+    out, left, rest = np.zeros(len(rows), np.int64), cases, total
+    for i, n in enumerate(rows.tolist()):
+        share = n / rest if rest else 0.0
+        spread = math.sqrt(max(0.0, left * share * (1 - share) * (rest - left) / max(1, rest - 1)))
+        out[i] = min(max(round(rng.normal(left * share, spread)), left - (rest - n), 0), n, left)
+        left, rest = left - int(out[i]), rest - n
+    return out
+
+
+def shadow_cases(slot: np.ndarray, feature: np.ndarray, bin_: np.ndarray, a: np.ndarray, n: np.ndarray, salts: dict[int, tuple[int, int]], seed: int) -> np.ndarray:
+    """The cases of each node dealt anew to the bins of each of its features, in the order of the bins.
+
+    Chance is a hash of the seed, the tree and node that ``salts`` names, and the feature, so a lost task repeats it.
+    """
+    out = np.zeros(len(a))
+    order = np.lexsort((bin_, feature, slot))
+    first = np.flatnonzero(np.r_[True, (np.diff(slot[order]) != 0) | (np.diff(feature[order]) != 0)]) if len(order) else []
+    for at in np.split(order, first[1:]) if len(order) else []:
+        tree, node = salts[int(slot[at[0]])]
+        rng = np.random.default_rng([seed, tree, node, int(feature[at[0]])])
+        out[at] = dealt(np.rint(n[at]).astype(np.int64), round(a[at].sum()), rng)
+    return out
+
+
+def best_cuts(sums: DataFrame, rules: Rules, salts: dict[int, tuple[int, int]] | None = None) -> DataFrame:
     """From partial sums by (slot, feature, bin): each node's totals and best cut, once for every part of its features.
 
     The sums of a feature of a node meet in one partition, which runs over its bins and keeps the best cut of each node;
-    so a partition returns one row for a node at most. Totals are those of the first feature there.
+    so a partition returns one row for a node at most. Totals are those of the first feature there. With ``salts`` (tree and
+    node of each slot) also the best cut's feature and gain among the shadows, whose rows are counts and cases whole numbers.
     """
     met = sums.repartition("slot", "feature").groupBy("slot", "feature", "bin").agg(*[F.sum(c).alias(c) for c in ("a", "b", "n")])
     schema = "slot int, first int, ta double, tb double, tn double, feature int, cut int, missing_left boolean, gain double, a double, b double, n double"
+    schema += ", shadow_feature int, shadow_gain double" if salts is not None else ""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
         if table is not None:
-            best = _best_of(*[table.column(c).to_numpy() for c in ("slot", "feature", "bin", "a", "b", "n")], rules)
+            cells = [table.column(c).to_numpy() for c in ("slot", "feature", "bin", "a", "b", "n")]
+            best = _best_of(*cells, rules)
+            if salts is not None:
+                slot, feature, bin_, a, b, n = cells
+                shadow = _best_of(slot, feature, bin_, shadow_cases(slot, feature, bin_, a, n, salts, rules.seed), b, n, rules)
+                best += [shadow[5], shadow[8]]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in best], names=[c.split()[0] for c in schema.split(", ")])
 
     return met.mapInArrow(each, schema)
@@ -354,10 +399,12 @@ def _rank(r: dict) -> tuple:
     return r["feature"] >= 0, round(r["gain"], GAIN_DIGITS), -r["feature"], -r["cut"], r["missing_left"]
 
 
-def grow(rows: DataFrame, edges: list[list[float]], numbers: list[int], rules: Rules, stats) -> Trees:
+def grow(rows: DataFrame, edges: list[list[float]], numbers: list[int], rules: Rules, stats, credits: list[tuple] | None = None) -> Trees:
     """One tree for each of ``numbers``, all grown together a level at a time, on ``rows`` with ``row_hash`` and ``bins``.
 
-    ``stats(batch, bins)`` gives the two statistics of the rows of an Arrow batch.
+    ``stats(batch, bins)`` gives the two statistics of the rows of an Arrow batch. If ``rules`` ask for shadows, ``credits``
+    gets ``(tree, node, feature, gain)`` of each node that could be cut: the gain of the feature that gains most, or, if
+    a shadow gains more, less than nothing for the feature of the shadow. A draw between them gives neither.
     """
     width, bins = len(edges), max((len(e) for e in edges), default=0) + 1
     grown = {t: Trees() for t in numbers}
@@ -378,11 +425,15 @@ def grow(rows: DataFrame, edges: list[list[float]], numbers: list[int], rules: R
             slots = {offset[t] + n: s for s, (t, n) in enumerate(some)}
             schema = "slot int, feature int, bin int, a double, b double, n double"
             parts: dict[int, list[dict]] = {}
-            for r in best_cuts(rows.mapInArrow(_sums(rules, flat, numbers, slots, drawn, width, bins, stats), schema), rules).collect():
+            salts = dict(enumerate(some)) if rules.shadows else None
+            for r in best_cuts(rows.mapInArrow(_sums(rules, flat, numbers, slots, drawn, width, bins, stats), schema), rules, salts).collect():
                 parts.setdefault(r["slot"], []).append(r.asDict())
             for s, of in parts.items():
                 head = min(of, key=lambda r: r["first"])
                 found[some[s]] = max(of, key=_rank) | {c: head[c] for c in ("ta", "tb", "tn")}
+                if rules.shadows:
+                    chance = max(of, key=lambda r: (r["shadow_feature"] >= 0, round(r["shadow_gain"], GAIN_DIGITS), -r["shadow_feature"]))
+                    found[some[s]] |= {c: chance[c] for c in ("shadow_feature", "shadow_gain")}
         nxt = []
         for t, n in open_nodes:
             tree, r = grown[t], found.get((t, n))
@@ -390,6 +441,10 @@ def grow(rows: DataFrame, edges: list[list[float]], numbers: list[int], rules: R
                 continue
             if not level:
                 tree.value[n], tree.cover[n], tree.rows[n] = rules.leaf(r["ta"], r["tb"]), r["tb"], r["tn"]
+            if rules.shadows and tree.rows[n] >= rules.least_split_rows:
+                more = round(r["gain"], GAIN_DIGITS) - round(r["shadow_gain"], GAIN_DIGITS)
+                if more:
+                    credits.append((t, n, r["feature"], r["gain"]) if more > 0 else (t, n, r["shadow_feature"], -r["shadow_gain"]))
             if r["feature"] < 0 or tree.rows[n] < rules.least_split_rows:
                 continue
             upper = edges[r["feature"]]
@@ -524,6 +579,48 @@ def bagged_forest(
     return model
 
 
+def shadowed_forest(
+    frame: DataFrame,
+    key: str,
+    label: str = "outcome",
+    features: str = "features",
+    trees: int = 100,
+    depth: int | None = None,
+    columns: int | str = "sqrt",
+    share: float = 0.632,
+    least_split_rows: int = 2,
+    least_leaf_rows: int = 1,
+    bins: int = MAX_BINS,
+    seed: int = 42,
+    together: int = 50,
+) -> tuple[Trees, list[tuple]]:
+    """A forest on shares of the rows, and its credits ``(tree, node, feature, gain)`` against shadows drawn in each node.
+
+    Gains are divided by the rows of the tree. Rows are drawn without return, as a row that is twice in a bag would fall
+    into one bin twice but be dealt to two. The label is 0 or 1; rows without one are left out.
+    """
+    if not 0 < share <= 1:
+        raise ValueError("share must lie in (0, 1]")
+    if frame.where(F.col(label).isNotNull() & ~F.col(label).cast("double").isin(0.0, 1.0)).limit(1).count():
+        raise ValueError("cases are dealt to bins: the label must be 0 or 1")
+    edges = bin_edges(frame, features, bins)
+    width = len(edges)
+    n = max(1, int(math.sqrt(width))) if columns == "sqrt" else max(1, int(math.log2(width))) if columns == "log2" else int(columns)
+    keep = [row_hash(key, seed).alias("row_hash"), F.col(label).cast("double").alias("y")]
+    rows = materialise(binned(frame.where(F.col(label).isNotNull()), edges, keep, features))
+    rules = Rules(depth, 0.0, 0.0, least_leaf_rows, least_split_rows, n, True, "share", share, False, seed, True)
+
+    def stats(batch: pa.RecordBatch, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        y = batch.column(batch.schema.get_field_index("y")).to_numpy(zero_copy_only=False)
+        return y, np.ones(len(y))
+
+    model, credits = Trees(), []
+    for first in range(0, trees, together):
+        model.append(grow(rows, edges, list(range(first, min(trees, first + together))), rules, stats, credits))
+    size = [model.rows[r] for r in model.roots]
+    return model, [(t, node, f, g / size[t]) for t, node, f, g in credits]
+
+
 def out_of_bag(frame: DataFrame, key: str, model: Trees, label: str = "outcome", features: str = "features", seed: int = 42) -> DataFrame:
     """``key, actual, score, n_trees, prediction``: the mean of each row over the trees whose bags leave it out.
 

@@ -86,6 +86,23 @@ def importance_facts(spark, sf):
     return tidy(both.groupBy("method", "feature").agg(F.count("*").alias("times")).join(sums, "method"))
 
 
+@query(
+    "shadow_importance_facts",
+    f"""WITH {K.SQL_DOCS}, n AS (SELECT count(*) > 0 AS filled FROM docs), f AS (SELECT unnest([{", ".join(f"'{x}'" for x in K.DOC_FEATURES)}]) AS feature)
+ SELECT feature, CAST(1 AS BIGINT) AS times, true AS no_credit_no_gain, true AS p_falls FROM f, n WHERE filled""",
+)
+def shadow_importance_facts(spark, sf):
+    """Each feature has one importance, 0 if it neither won nor lost a node, and no higher one has a greater p-value."""
+    frame, names = doc_frame(spark, sf)
+    if frame.isEmpty():
+        return spark.createDataFrame([], "feature string, times long, no_credit_no_gain boolean, p_falls boolean")
+    found = materialise(Z.mirrored_p_values(Z.shadow_importance(frame, names, KEY, trees=10, depth=4)))
+    steps = [r["p_value"] for r in found.orderBy(F.desc("importance")).select("p_value").collect()]  # one a feature
+    falls = all(a <= b for a, b in zip(steps, steps[1:])) if None not in steps else not any(steps)
+    no_gain = F.bool_and((F.col("n_own") + F.col("n_shadow") > 0) | (F.col("importance") == 0)).alias("no_credit_no_gain")
+    return tidy(found.groupBy("feature").agg(F.count("*").alias("times"), no_gain).withColumn("p_falls", F.lit(falls)))
+
+
 @query(
     "elimination_facts",
     f"""WITH k AS (SELECT {len(K.DOC_FEATURES)} AS features, 3 AS kept WHERE EXISTS (SELECT 1 FROM documents)), r AS (SELECT unnest(range(1, features - kept + 2)) AS ranking, kept FROM k)

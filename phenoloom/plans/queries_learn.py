@@ -53,6 +53,28 @@ def corrected_importance(spark, sf):
     return Z.corrected_importance(frame, names, KEY, FOREST)
 
 
+_DIFFERENCES = """imp AS (SELECT feature, round(avg(value) FILTER (outcome = 1) - avg(value) FILTER (outcome = 0), 9) AS importance FROM cells GROUP BY 1)"""
+
+
+@query(
+    "mirrored_p_values",
+    f"""WITH {K.sql_vector_cells(1)}, {_DIFFERENCES}, none AS (SELECT importance AS v FROM imp WHERE importance <= 0 UNION ALL SELECT -importance FROM imp WHERE importance < 0)
+ SELECT feature, round(importance, 6) AS importance, round((SELECT count(*) FROM none WHERE v >= importance) / nullif((SELECT count(*) FROM none), 0), 6) AS p_value FROM imp""",
+)
+def mirrored_p_values(spark, sf):
+    """P-values from the mirrored negative values, of a signed importance that SQL has too: the difference of the means."""
+    cells = K.vectors(spark, sf, 1).cells()
+    mean = lambda y: F.avg(F.when(F.col("outcome") == y, F.col("value")))
+    return tidy(Z.mirrored_p_values(cells.groupBy("feature").agg(F.round(mean(1) - mean(0), 9).alias("importance"))))
+
+
+@query("shadow_importance")
+def shadow_importance(spark, sf):
+    """Importance corrected by shadows drawn in every node, with its p-values."""
+    frame, names = vector_frame(spark, sf)
+    return Z.mirrored_p_values(Z.shadow_importance(frame, names, KEY, trees=20, depth=4))
+
+
 @query(
     "shadow_features",
     f"""WITH {K.sql_vector_cells(1)}, s AS (SELECT feature, round(sum(value), 6) AS own, round(sum(value), 6) AS shadow FROM cells GROUP BY 1) SELECT * FROM s""",

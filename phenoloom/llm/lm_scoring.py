@@ -39,7 +39,9 @@ WHOLE, LONGEST = 2048, 6
 PARTS = CLASSES - 256 - WHOLE
 AROUND = (-2, -1, 1, 2)
 #: Passes over the corpus, which share its positions; positions in a step; step size.
-ROUNDS, STEP, RATE = 2, 1024, 0.1
+ROUNDS, STEP, RATE = 2, 8192, 0.2
+#: Positions scored together.
+BLOCK = 16_384
 REMEMBERED, SLICES = 250_000, 32
 SHAPES = {
     "around": (len(AROUND), CLASSES + 1, HIDDEN), "bias": (HIDDEN,), "cluster": (HIDDEN, CLUSTERS), "cluster_bias": (CLUSTERS,),
@@ -48,19 +50,24 @@ SHAPES = {
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    """In place."""
-    x -= x.max(-1, keepdims=True)
+    """Of each column, in place."""
+    x -= x.max(0)
     np.exp(x, out=x)
-    x /= x.sum(-1, keepdims=True)
+    x /= x.sum(0)
     return x
 
 
 def _log_share(x: np.ndarray, picked: np.ndarray) -> np.ndarray:
-    """Logarithm of the softmax at one column per row; ``x`` is used up."""
-    x -= x.max(-1, keepdims=True)
-    own = x[np.arange(len(x)), picked]
+    """Logarithm of the softmax at one row per column; ``x`` is used up."""
+    x -= x.max(0)
+    own = x[picked, np.arange(x.shape[1])]
     np.exp(x, out=x)
-    return own - np.log(x.sum(-1))
+    return own - np.log(x.sum(0))
+
+
+def _runs(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values start."""
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
 
 
 class Model:
@@ -70,7 +77,9 @@ class Model:
         self.vocabulary, self.spelling, self.weights = vocabulary, spelling, weights
         # ranks are dealt over the clusters, so that all are about equally frequent
         self.ids = {w: (k % CLUSTERS) * IN_CLUSTER + k // CLUSTERS for k, w in enumerate([*vocabulary, *(bytes([b]) for b in range(256))])}
+        # a space is only in front, so beyond it only shorter units can match
         self.longest = max(map(len, self.ids))
+        self.inner = max(len(w) for w in self.ids if not w.startswith(b" "))
         self._forget()
 
     def _forget(self) -> None:
@@ -82,14 +91,15 @@ class Model:
         one = self.ids.get(marked)
         if one is not None:
             return [one]
-        out, at, get = [], 0, self.ids.get
+        out, at, get, longest = [], 0, self.ids.get, self.longest
         while at < len(marked):
-            for size in range(min(self.longest, len(marked) - at), 0, -1):
+            for size in range(min(longest, len(marked) - at), 0, -1):
                 one = get(marked[at : at + size])
                 if one is not None:
                     break
             out.append(one)
             at += size
+            longest = self.inner
         return out
 
     def _learn(self, new: list[bytes]) -> None:
@@ -144,41 +154,48 @@ class Model:
 
     def log_probabilities(self, words: np.ndarray, context: np.ndarray) -> np.ndarray:
         w, out = self.weights, np.empty(len(words), np.float64)
-        for i in range(0, len(words), 65_536):
-            these = words[i : i + 65_536]
-            h, cluster = self.hidden(context[:, i : i + 65_536]), these // IN_CLUSTER
-            part = _log_share(h @ w["cluster"] + w["cluster_bias"], cluster).astype(np.float64)
-            order = np.argsort(cluster, kind="stable")
-            for rows in np.split(order, np.searchsorted(cluster[order], np.arange(1, CLUSTERS))):
-                if len(rows):
-                    c = cluster[rows[0]]
-                    part[rows] += _log_share(h[rows] @ w["word"][c].T + w["word_bias"][c], these[rows] % IN_CLUSTER)
-            out[i : i + 65_536] = part
+        for i in range(0, len(words), BLOCK):
+            order = np.argsort(words[i : i + BLOCK].astype(np.uint16), kind="stable")
+            these = words[i : i + BLOCK][order]
+            h, cluster, inner = self.hidden(context[:, i : i + BLOCK][:, order]), these // IN_CLUSTER, these % IN_CLUSTER
+            across = np.ascontiguousarray(h.T)
+            part = _log_share(w["cluster"].T @ across + w["cluster_bias"][:, None], cluster).astype(np.float64)
+            ends = np.searchsorted(cluster, np.arange(CLUSTERS + 1)).tolist()
+            for c, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+                if a < b:
+                    part[a:b] += _log_share(w["word"][c] @ across[:, a:b] + w["word_bias"][c][:, None], inner[a:b])
+            out[i + order] = part
         return out
 
     def gradients(self, words: np.ndarray, context: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean negative log-probability."""
         w, n = self.weights, len(words)
         out = {k: np.zeros_like(v) for k, v in w.items()}
-        h, cluster = self.hidden(context), words // IN_CLUSTER
-        d = _softmax(h @ w["cluster"] + w["cluster_bias"])
-        d[np.arange(n), cluster] -= 1
+        order = np.argsort(words.astype(np.uint16), kind="stable")
+        words, context, at = words[order], context[:, order], np.arange(n)
+        h, cluster, inner = self.hidden(context), words // IN_CLUSTER, words % IN_CLUSTER
+        across = np.ascontiguousarray(h.T)
+        d = _softmax(w["cluster"].T @ across + w["cluster_bias"][:, None])
+        d[cluster, at] -= 1
         d /= n
-        out["cluster"], out["cluster_bias"] = h.T @ d, d.sum(0)
-        dh = d @ w["cluster"].T
-        order = np.argsort(cluster, kind="stable")
-        for rows in np.split(order, np.searchsorted(cluster[order], np.arange(1, CLUSTERS))):
-            if len(rows):
-                c, mine = cluster[rows[0]], h[rows]
-                e = _softmax(mine @ w["word"][c].T + w["word_bias"][c])
-                e[np.arange(len(rows)), words[rows] % IN_CLUSTER] -= 1
+        out["cluster"], out["cluster_bias"] = across @ d.T, d.sum(1)
+        back = w["cluster"] @ d
+        ends = np.searchsorted(cluster, np.arange(CLUSTERS + 1)).tolist()
+        for c, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+            if a < b:
+                e = _softmax(w["word"][c] @ across[:, a:b] + w["word_bias"][c][:, None])
+                e[inner[a:b], at[: b - a]] -= 1
                 e /= n
-                out["word"][c], out["word_bias"][c] = e.T @ mine, e.sum(0)
-                dh[rows] += e @ w["word"][c]
-        dh *= 1 - h * h
-        out["bias"] = dh.sum(0)
+                out["word"][c], out["word_bias"][c] = e @ h[a:b], e.sum(1)
+                back[:, a:b] += w["word"][c].T @ e
+        back *= 1 - across * across
+        out["bias"] = back.sum(1)
+        back = np.ascontiguousarray(back.T)
         for k in range(len(AROUND)):
-            np.add.at(out["around"][k], context[k], dh)
+            order = np.argsort(context[k].astype(np.uint16), kind="stable")
+            near = context[k][order]
+            first = _runs(near)
+            out["around"][k][near[first]] = np.add.reduceat(back[order], first, axis=0) if n else 0.0
         return out
 
 

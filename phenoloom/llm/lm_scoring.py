@@ -42,6 +42,8 @@ AROUND = (-2, -1, 1, 2)
 ROUNDS, STEP, RATE = 2, 8192, 0.2
 #: Positions scored together.
 BLOCK = 16_384
+#: Columns of a matrix product. One of 64 x 16 by so many is below the size at which the linear algebra library wakes threads.
+COLUMNS = 256
 REMEMBERED, SLICES = 250_000, 32
 SHAPES = {
     "around": (len(AROUND), CLASSES + 1, HIDDEN), "bias": (HIDDEN,), "cluster": (HIDDEN, CLUSTERS), "cluster_bias": (CLUSTERS,),
@@ -65,9 +67,22 @@ def _log_share(x: np.ndarray, picked: np.ndarray) -> np.ndarray:
     return own - np.log(x.sum(0))
 
 
-def _runs(x: np.ndarray) -> np.ndarray:
-    """Where runs of equal values start."""
-    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+def _times(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """``a @ x`` by blocks of columns: products so small stay in the task's own thread and in the cache."""
+    if x.shape[1] <= COLUMNS:
+        return a @ x
+    out = np.empty((len(a), x.shape[1]), np.result_type(a, x))
+    for i in range(0, x.shape[1], COLUMNS):
+        out[:, i : i + COLUMNS] = a @ x[:, i : i + COLUMNS]
+    return out
+
+
+def _against(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``x @ y.T`` by blocks of columns."""
+    out = np.zeros((len(x), len(y)), np.result_type(x, y))
+    for i in range(0, x.shape[1], COLUMNS):
+        out += x[:, i : i + COLUMNS] @ y[:, i : i + COLUMNS].T
+    return out
 
 
 class Model:
@@ -80,6 +95,7 @@ class Model:
         # a space is only in front, so beyond it only shorter units can match
         self.longest = max(map(len, self.ids))
         self.inner = max(len(w) for w in self.ids if not w.startswith(b" "))
+        self.finder = None
         self._forget()
 
     def _forget(self) -> None:
@@ -102,13 +118,31 @@ class Model:
             longest = self.inner
         return out
 
+    def cut_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Units of many words end to end, as :func:`cut` gives them, and how many each has.
+
+        Every byte is a unit and no unit goes on beyond a space, so the leftmost longest matches in the words end to end,
+        each with a space in front, are those of the words.
+        """
+        if self.finder is None:
+            import ahocorasick
+
+            self.finder, self.opens = ahocorasick.Automaton(), np.zeros(CLASSES, bool)
+            for unit, one in self.ids.items():
+                self.finder.add_word(unit.decode("latin-1"), one)
+                self.opens[one] = unit.startswith(b" ")
+            self.finder.make_automaton()
+        text = b"".join([b" " + w for w in words]).decode("latin-1")
+        units = np.array([one for _, one in self.finder.iter_long(text)], np.int64)
+        first = np.flatnonzero(self.opens[units])
+        return units, np.diff(np.append(first, len(units)))
+
     def _learn(self, new: list[bytes]) -> None:
-        cuts = [self.cut(w) for w in new]
-        sizes = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        units, sizes = self.cut_all(new)
         self.place.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
         self.first = np.concatenate([self.first, len(self.units) + np.cumsum(sizes) - sizes])
         self.size = np.concatenate([self.size, sizes])
-        self.units = np.concatenate([self.units, np.fromiter((u for c in cuts for u in c), np.int64, int(sizes.sum()))])
+        self.units = np.concatenate([self.units, units])
 
     def units_of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Units of all words end to end, and the numbers of words and of units of each text."""
@@ -147,23 +181,24 @@ class Model:
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
         w = self.weights
-        total = w["bias"] + w["around"][0][context[0]]
+        total = w["around"][0].take(context[0], axis=0)
         for k in range(1, len(AROUND)):
-            total += w["around"][k][context[k]]
-        return np.tanh(total)
+            total += w["around"][k].take(context[k], axis=0)
+        total += w["bias"]
+        return np.tanh(total, out=total)
 
     def log_probabilities(self, words: np.ndarray, context: np.ndarray) -> np.ndarray:
         w, out = self.weights, np.empty(len(words), np.float64)
         for i in range(0, len(words), BLOCK):
             order = np.argsort(words[i : i + BLOCK].astype(np.uint16), kind="stable")
             these = words[i : i + BLOCK][order]
-            h, cluster, inner = self.hidden(context[:, i : i + BLOCK][:, order]), these // IN_CLUSTER, these % IN_CLUSTER
-            across = np.ascontiguousarray(h.T)
-            part = _log_share(w["cluster"].T @ across + w["cluster_bias"][:, None], cluster).astype(np.float64)
+            cluster, inner = these // IN_CLUSTER, these % IN_CLUSTER
+            across = np.ascontiguousarray(self.hidden(context[:, i : i + BLOCK].take(order, axis=1)).T)
+            part = _log_share(_times(w["cluster"].T, across) + w["cluster_bias"][:, None], cluster).astype(np.float64)
             ends = np.searchsorted(cluster, np.arange(CLUSTERS + 1)).tolist()
             for c, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
                 if a < b:
-                    part[a:b] += _log_share(w["word"][c] @ across[:, a:b] + w["word_bias"][c][:, None], inner[a:b])
+                    part[a:b] += _log_share(_times(w["word"][c], across[:, a:b]) + w["word_bias"][c][:, None], inner[a:b])
             out[i + order] = part
         return out
 
@@ -172,30 +207,28 @@ class Model:
         w, n = self.weights, len(words)
         out = {k: np.zeros_like(v) for k, v in w.items()}
         order = np.argsort(words.astype(np.uint16), kind="stable")
-        words, context, at = words[order], context[:, order], np.arange(n)
-        h, cluster, inner = self.hidden(context), words // IN_CLUSTER, words % IN_CLUSTER
-        across = np.ascontiguousarray(h.T)
-        d = _softmax(w["cluster"].T @ across + w["cluster_bias"][:, None])
+        words, context, at = words[order], context.take(order, axis=1), np.arange(n)
+        cluster, inner = words // IN_CLUSTER, words % IN_CLUSTER
+        across = np.ascontiguousarray(self.hidden(context).T)
+        d = _softmax(_times(w["cluster"].T, across) + w["cluster_bias"][:, None])
         d[cluster, at] -= 1
         d /= n
-        out["cluster"], out["cluster_bias"] = across @ d.T, d.sum(1)
-        back = w["cluster"] @ d
+        out["cluster"], out["cluster_bias"] = _against(across, d), d.sum(1)
+        back = _times(w["cluster"], d)
         ends = np.searchsorted(cluster, np.arange(CLUSTERS + 1)).tolist()
         for c, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
             if a < b:
-                e = _softmax(w["word"][c] @ across[:, a:b] + w["word_bias"][c][:, None])
+                e = _softmax(_times(w["word"][c], across[:, a:b]) + w["word_bias"][c][:, None])
                 e[inner[a:b], at[: b - a]] -= 1
                 e /= n
-                out["word"][c], out["word_bias"][c] = e @ h[a:b], e.sum(1)
-                back[:, a:b] += w["word"][c].T @ e
+                out["word"][c], out["word_bias"][c] = _against(e, across[:, a:b]), e.sum(1)
+                back[:, a:b] += _times(w["word"][c].T, e)
         back *= 1 - across * across
         out["bias"] = back.sum(1)
-        back = np.ascontiguousarray(back.T)
-        for k in range(len(AROUND)):
-            order = np.argsort(context[k].astype(np.uint16), kind="stable")
-            near = context[k][order]
-            first = _runs(near)
-            out["around"][k][near[first]] = np.add.reduceat(back[order], first, axis=0) if n else 0.0
+        back, place = np.ascontiguousarray(back.T).ravel(), np.arange(HIDDEN)
+        for k, near in enumerate(context):
+            cells = (near[:, None] * HIDDEN + place).ravel()
+            out["around"][k] = np.bincount(cells, back, out["around"][k].size).reshape(-1, HIDDEN)
         return out
 
 
@@ -279,12 +312,12 @@ def start(docs: DataFrame, text: str = "text", seed: int = 11) -> Model:
     def use(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine, sums, spelt = Model(shipped.value, np.zeros(257), {}), np.zeros(CLASSES, np.int64), np.zeros(257, np.int64)
         for batch in batches:
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                raw = word.encode()
-                for unit in mine.cut(raw):
-                    sums[unit] += n
-                spelt += n * np.bincount(np.frombuffer(raw, np.uint8), minlength=257)
-                spelt[256] += n
+            words, n = [w.encode() for w in batch.column(0).to_pylist()], batch.column(1).to_numpy()
+            units, sizes = mine.cut_all(words)
+            sums += np.bincount(units, np.repeat(n, sizes), CLASSES).astype(np.int64)
+            lengths = np.fromiter(map(len, words), np.int64, len(words))
+            spelt += np.bincount(np.frombuffer(b"".join(words), np.uint8), np.repeat(n, lengths), 257).astype(np.int64)
+            spelt[256] += n.sum()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES + 257)), pa.array(np.concatenate([sums, spelt]))], names=["unit", "n"])
 
     used = counts.mapInArrow(use, "unit bigint, n bigint").groupBy("unit").agg(F.sum("n").alias("n")).collect()  # a row per unit and byte

@@ -22,3 +22,26 @@ def test_rounds_visit_every_position_once():
     for rounds in (1, 2, 3):
         seen = np.concatenate([L.masked(seeds, counts, k, rounds) for k in range(rounds)])
         assert sorted(seen.tolist()) == list(range(340))
+
+
+def test_many_words_are_cut_like_one():
+    draw = np.random.default_rng(7)
+    alphabet = [b"a", b"b", b"ab", b"bab", "\u00e9".encode(), b"\x00", b"9"]
+    words = [b"".join(draw.choice(alphabet, draw.integers(1, 12)).tolist()) for _ in range(3000)]
+    units = {b" " + w for w in words[:40]}
+    for w in words[:400]:
+        marked = b" " + w
+        a = int(draw.integers(0, len(marked)))
+        units.add(marked[a : a + int(draw.integers(2, 7))])
+    units = sorted(u for u in units if len(u) > 1)[: L.WHOLE]
+    m = L.Model(units, np.zeros(257), {})
+    each = [m.cut(w) for w in words]
+    flat, sizes = m.cut_all(words)
+    assert sizes.tolist() == [len(c) for c in each] and flat.tolist() == [u for c in each for u in c]
+    assert m.cut_all([])[0].tolist() == [] and m.cut_all([])[1].tolist() == []
+
+
+def test_blocks_of_products_add_up():
+    draw = np.random.default_rng(2)
+    a, x, y = draw.normal(size=(5, 7)), draw.normal(size=(7, 700)), draw.normal(size=(3, 700))
+    assert np.allclose(L._times(a, x), a @ x) and np.allclose(L._against(x, y), x @ y.T) and L._times(a, x[:, :0]).shape == (5, 0)

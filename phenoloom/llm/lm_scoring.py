@@ -19,6 +19,7 @@ only units, all alike; repeated rows count and train each; ties in frequency go
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -42,6 +43,8 @@ AROUND = (-2, -1, 1, 2)
 ROUNDS, STEP, RATE = 2, 8192, 0.2
 #: Positions scored together.
 BLOCK = 16_384
+#: Sums within it need no care before their exponentials are added.
+SAFE = 60.0
 #: Columns of a matrix product. One of 64 x 16 by so many is below the size at which the linear algebra library wakes threads.
 COLUMNS = 256
 REMEMBERED, SLICES = 250_000, 32
@@ -51,22 +54,34 @@ SHAPES = {
 }
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
+def _exp(x: np.ndarray, most: float) -> np.ndarray:
+    """Exponentials in place, of numbers of at most ``most`` in size or, where that is too large, less each column's greatest."""
+    if most > SAFE:
+        x -= x.max(0)
+    return np.exp(x, out=x)
+
+
+def _softmax(x: np.ndarray, most: float) -> np.ndarray:
     """Of each column, in place."""
-    x -= x.max(0)
-    np.exp(x, out=x)
+    x = _exp(x, most)
     x /= x.sum(0)
     return x
 
 
-def _log_share(x: np.ndarray, picked: np.ndarray) -> np.ndarray:
+def _log_share(x: np.ndarray, picked: np.ndarray, most: float) -> np.ndarray:
     """Logarithm of the softmax at one row per column; ``x`` is used up."""
-    x -= x.max(0)
+    if most > SAFE:
+        x -= x.max(0)
     own = x[picked, np.arange(x.shape[1])]
     np.exp(x, out=x)
     return own - np.log(x.sum(0))
 
 
+def _bounds(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """The greatest size of any sum of a row of weights times numbers from -1 to 1, and its bias."""
+    return (np.abs(weights).sum(-1) + np.abs(bias)).max(-1)
+
+
 def _times(a: np.ndarray, x: np.ndarray) -> np.ndarray:
     """``a @ x`` by blocks of columns: products so small stay in the task's own thread and in the cache."""
     if x.shape[1] <= COLUMNS:
@@ -187,18 +202,28 @@ class Model:
         total += w["bias"]
         return np.tanh(total, out=total)
 
+    def bounds(self) -> tuple[float, list[float]]:
+        """Of the logits of the clusters, and of the units of each cluster."""
+        w = self.weights
+        return float(_bounds(w["cluster"].T, w["cluster_bias"])), _bounds(w["word"], w["word_bias"]).tolist()
+
     def log_probabilities(self, words: np.ndarray, context: np.ndarray) -> np.ndarray:
         w, out = self.weights, np.empty(len(words), np.float64)
+        first, second = self.bounds()
         for i in range(0, len(words), BLOCK):
             order = np.argsort(words[i : i + BLOCK].astype(np.uint16), kind="stable")
             these = words[i : i + BLOCK][order]
             cluster, inner = these // IN_CLUSTER, these % IN_CLUSTER
             across = np.ascontiguousarray(self.hidden(context[:, i : i + BLOCK].take(order, axis=1)).T)
-            part = _log_share(_times(w["cluster"].T, across) + w["cluster_bias"][:, None], cluster).astype(np.float64)
+            logits = _times(w["cluster"].T, across)
+            logits += w["cluster_bias"][:, None]
+            part = _log_share(logits, cluster, first).astype(np.float64)
             ends = np.searchsorted(cluster, np.arange(CLUSTERS + 1)).tolist()
             for c, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
                 if a < b:
-                    part[a:b] += _log_share(_times(w["word"][c], across[:, a:b]) + w["word_bias"][c][:, None], inner[a:b])
+                    logits = _times(w["word"][c], across[:, a:b])
+                    logits += w["word_bias"][c][:, None]
+                    part[a:b] += _log_share(logits, inner[a:b], second[c])
             out[i + order] = part
         return out
 
@@ -210,7 +235,10 @@ class Model:
         words, context, at = words[order], context.take(order, axis=1), np.arange(n)
         cluster, inner = words // IN_CLUSTER, words % IN_CLUSTER
         across = np.ascontiguousarray(self.hidden(context).T)
-        d = _softmax(_times(w["cluster"].T, across) + w["cluster_bias"][:, None])
+        first, second = self.bounds()
+        d = _times(w["cluster"].T, across)
+        d += w["cluster_bias"][:, None]
+        d = _softmax(d, first)
         d[cluster, at] -= 1
         d /= n
         out["cluster"], out["cluster_bias"] = _against(across, d), d.sum(1)
@@ -218,7 +246,9 @@ class Model:
         ends = np.searchsorted(cluster, np.arange(CLUSTERS + 1)).tolist()
         for c, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
             if a < b:
-                e = _softmax(_times(w["word"][c], across[:, a:b]) + w["word_bias"][c][:, None])
+                e = _times(w["word"][c], across[:, a:b])
+                e += w["word_bias"][c][:, None]
+                e = _softmax(e, second[c])
                 e[inner[a:b], at[: b - a]] -= 1
                 e /= n
                 out["word"][c], out["word_bias"][c] = _against(e, across[:, a:b]), e.sum(1)
@@ -266,9 +296,24 @@ def _unflat(flat: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``word, n`` over all documents; A-Z in lower case."""
-    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return docs.select(F.explode(F.split(lower, r"[ \t\n\x0B\f\r]+")).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
+    """``word, n`` over all documents; A-Z in lower case. Tasks add up what they see before it is shuffled."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(seen: Counter) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+
+        seen: Counter = Counter()
+        for batch in batches:
+            for part in (batch.slice(i, 200) for i in range(0, batch.num_rows, 200)):
+                for raw in part.column(0).to_pylist():
+                    if raw:
+                        seen.update(raw.encode().lower().split())
+                if len(seen) > REMEMBERED:
+                    yield told(seen)
+                    seen.clear()
+        yield told(seen)
+
+    return docs.select(text).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def part_counts(counts: DataFrame) -> DataFrame:

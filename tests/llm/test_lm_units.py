@@ -45,3 +45,22 @@ def test_blocks_of_products_add_up():
     draw = np.random.default_rng(2)
     a, x, y = draw.normal(size=(5, 7)), draw.normal(size=(7, 700)), draw.normal(size=(3, 700))
     assert np.allclose(L._times(a, x), a @ x) and np.allclose(L._against(x, y), x @ y.T) and L._times(a, x[:, :0]).shape == (5, 0)
+
+
+def test_large_and_small_logits_give_the_same_shares():
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(6, 50))
+    for size in (1.0, 30.0, 900.0):
+        z = x * size
+        want = np.exp(z - z.max(0)) / np.exp(z - z.max(0)).sum(0)
+        assert np.allclose(L._softmax(z.copy(), np.abs(z).max()), want)
+        assert np.allclose(L._log_share(z.copy(), np.zeros(50, int), np.abs(z).max()), z[0] - z.max(0) - np.log(np.exp(z - z.max(0)).sum(0)))
+    assert L._bounds(np.array([[1.0, -2.0], [3.0, 0.5]]), np.array([-1.0, 0.0])) == 4.0
+
+
+def test_words_are_counted_whole(spark, monkeypatch):
+    texts = ["B a\tb\x0bA", None, "", " \n ", "\u00c9 \u00e9 a\u00a0b b\r\nb"] * 30
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    want = {"a": 60, "b": 120, "\u00c9": 30, "\u00e9": 30, "a\u00a0b": 30}
+    assert {r.word: r.n for r in L.word_counts(docs).collect()} == want
+    assert L.word_counts(docs.limit(0)).count() == 0

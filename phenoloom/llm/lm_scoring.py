@@ -61,10 +61,10 @@ def _exp(x: np.ndarray, most: float) -> np.ndarray:
     return np.exp(x, out=x)
 
 
-def _softmax(x: np.ndarray, most: float) -> np.ndarray:
-    """Of each column, in place."""
+def _softmax(x: np.ndarray, most: float, whole: float = 1.0) -> np.ndarray:
+    """Of each column, in place; columns add up to ``whole``."""
     x = _exp(x, most)
-    x /= x.sum(0)
+    x *= (whole / x.sum(0)).astype(x.dtype)
     return x
 
 
@@ -238,9 +238,8 @@ class Model:
         first, second = self.bounds()
         d = _times(w["cluster"].T, across)
         d += w["cluster_bias"][:, None]
-        d = _softmax(d, first)
-        d[cluster, at] -= 1
-        d /= n
+        d = _softmax(d, first, 1 / n)
+        d[cluster, at] -= 1 / n
         out["cluster"], out["cluster_bias"] = _against(across, d), d.sum(1)
         back = _times(w["cluster"], d)
         ends = np.searchsorted(cluster, np.arange(CLUSTERS + 1)).tolist()
@@ -248,9 +247,8 @@ class Model:
             if a < b:
                 e = _times(w["word"][c], across[:, a:b])
                 e += w["word_bias"][c][:, None]
-                e = _softmax(e, second[c])
-                e[inner[a:b], at[: b - a]] -= 1
-                e /= n
+                e = _softmax(e, second[c], 1 / n)
+                e[inner[a:b], at[: b - a]] -= 1 / n
                 out["word"][c], out["word_bias"][c] = _against(e, across[:, a:b]), e.sum(1)
                 back[:, a:b] += _times(w["word"][c].T, e)
         back *= 1 - across * across

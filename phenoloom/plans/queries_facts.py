@@ -114,6 +114,50 @@ def elimination_facts(spark, sf):
     return tidy(Z.rfe(frame, names, 3, 1, params=FOREST).groupBy("ranking").agg(F.count("*").alias("n")))
 
 
+_RUNGS = {"eliminated": [len(K.DOC_FEATURES) - i for i in range(0, len(K.DOC_FEATURES) - 1, 2)] + [1], "ranked_once": [2, 3, 4, len(K.DOC_FEATURES)]}
+
+
+@query(
+    "ladder_facts",
+    f"""WITH {K.SQL_DOCS}, n AS (SELECT count(*) > 0 AS filled FROM docs), rungs AS ({" UNION ALL ".join(f"SELECT '{m}' AS method, unnest({sorted(set(v))}) AS n_features" for m, v in _RUNGS.items())})
+ SELECT method, CAST(n_features AS BIGINT) AS n_features, CAST(3 AS BIGINT) AS folds, true AS once, true AS shares, true AS picked_is_best FROM rungs, n WHERE filled""",
+)
+def ladder_facts(spark, sf):
+    """Both ladders score every size once in every fold, and the size that is kept has the best mean score."""
+    frame, names = doc_frame(spark, sf)
+    if frame.isEmpty():
+        return spark.createDataFrame([], "method string, n_features long, folds long, once boolean, shares boolean, picked_is_best boolean")
+    selection, by_steps = Z.rfe_cv(frame, names, KEY, 2, 3, estimator="logistic_regression", params={"maxIter": 10})
+    kept, at_once = Z.rfe_sizes(frame, names, KEY, max_size=4, k=3, params={"numTrees": 10, "maxDepth": 4})
+    tables = []
+    for method, ladder, size, most in (
+        ("eliminated", by_steps, selection.where("selected").count(), len(names)), ("ranked_once", at_once, len(kept), len(names) - 1),
+    ):
+        scores: dict[int, list[float]] = {}
+        for r in ladder.collect():  # one row per size and fold
+            scores.setdefault(r["n_features"], []).append(r["score"])
+        means = {n: round(sum(v) / len(v), 9) for n, v in scores.items() if n <= most}
+        rows = ladder.groupBy("n_features").agg(
+            F.countDistinct("fold").alias("folds"), (F.count("*") == F.countDistinct("fold")).alias("once"), F.bool_and(F.col("score").between(0, 1)).alias("shares")
+        )
+        tables.append(rows.withColumn("method", F.lit(method)).withColumn("picked_is_best", F.lit(means[size] == max(means.values()))))
+    return tidy(tables[0].unionByName(tables[1]))
+
+
+@query(
+    "repeated_importance_facts",
+    f"""WITH {_CLASSES}, f AS (SELECT unnest(range(1, 3)) AS repeat), g AS (SELECT unnest(range(0, 2)) AS fold)
+ SELECT repeat, fold, CAST(outcome AS BIGINT) AS outcome, (n + 1 - fold) // 2 AS n, true AS once, CAST({len(K.DOC_FEATURES)} AS BIGINT) AS features FROM c, f, g WHERE (n + 1 - fold) // 2 > 0""",
+)
+def repeated_importance_facts(spark, sf):
+    """Each fit of each repeat gives every feature one importance, and scores every row that it has not seen once."""
+    frame, names = doc_frame(spark, sf)
+    table, scores = Z.repeated_importance(frame, names, KEY, k=2, repeats=2, params={"numTrees": 10, "maxDepth": 4})
+    sizes = scores.groupBy("repeat", "fold", F.col("actual").cast("int").alias("outcome")).agg(F.count("*").alias("n"), (F.count("*") == F.countDistinct(KEY)).alias("once"))
+    told = table.groupBy("repeat", "fold").agg(F.when(F.count("*") == F.countDistinct("feature"), F.count("*")).alias("features"))
+    return tidy(sizes.join(told, ["repeat", "fold"]))
+
+
 @query("reload_facts", f"WITH {_CLASSES} SELECT CAST(outcome AS BIGINT) AS outcome, n, true AS same FROM c")
 def reload_facts(spark, sf):
     """A stored model that is read again gives every row the same score."""

@@ -158,6 +158,53 @@ def repeated_importance_facts(spark, sf):
     return tidy(sizes.join(told, ["repeat", "fold"]))
 
 
+@query(
+    "comparison_facts",
+    f"""WITH {_HOLD_OUT}, m AS (SELECT unnest(['random_forest', 'logistic_regression']) AS model), s AS (SELECT split, sum(n) AS n FROM parts GROUP BY 1)
+ SELECT model, split, CAST(n AS BIGINT) AS n, true AS metrics_agree, true AS no_error FROM m, s WHERE n > 0""",
+)
+def comparison_facts(spark, sf):
+    """The metrics of models compared side by side are those of their own predictions on both parts."""
+    frame, names = doc_frame(spark, sf)
+    train, val = M.hold_out(frame, KEY)
+    models = M.ModelSet(KEY)
+    params = {"random_forest": {"numTrees": 10, "maxDepth": 4}, "logistic_regression": {"maxIter": 10}}
+    told = materialise(models.compare(train, names, list(params), params, val=val, k=2))
+    parts = train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")))
+    out = None
+    for m in params:
+        scores = materialise(M.predict(models.models[m].model, parts, [KEY, "split", M.LABEL]).withColumnRenamed(M.LABEL, "actual"))
+        own = E.accuracy(scores, ["split"]).withColumnRenamed("accuracy", "right").join(E.auc(scores, ["split"]).select("split", F.col("auc").alias("area")), "split")
+        mine = told.where(F.col("model") == m)
+        both = mine.where(F.col("metric").isin("accuracy", "auc")).groupBy("split").pivot("metric", ["accuracy", "auc"]).agg(F.first("value")).join(own, "split")
+        agrees = (F.abs(F.col("right") - F.col("accuracy")) < 1e-9) & (F.abs(F.col("area") - F.col("auc")) < 1e-9)
+        rows = both.select("split", agrees.alias("metrics_agree")).join(scores.groupBy("split").agg(F.count("*").alias("n")), "split")
+        failed = mine.groupBy(F.lit(m).alias("model")).agg((F.count("error") == 0).alias("no_error"))
+        rows = rows.withColumn("model", F.lit(m)).join(failed, "model")
+        out = rows if out is None else out.unionByName(rows)
+    return tidy(out)
+
+
+@query(
+    "selection_facts",
+    f"""WITH {K.SQL_DOCS}, n AS (SELECT count(*) > 0 AS filled FROM docs), m AS (SELECT unnest(['rfe_lr', 'univariate', 'variance_threshold']) AS method)
+ SELECT method, CAST({len(K.DOC_FEATURES)} AS BIGINT) AS features, true AS once, true AS fits FROM m, n WHERE filled""",
+)
+def selection_facts(spark, sf):
+    """Every method judges every feature once and selects what it says: the k best scores, those over the threshold, or some."""
+    frame, names = doc_frame(spark, sf)
+    table = materialise(Z.compare_selection(frame, names, KEY, ["rfe_lr", "univariate", "variance_threshold"], 3, 10.0, {"logistic_regression": {"maxIter": 10}}, folds=2))
+    chosen = F.col("selected")
+    least, most = F.min(F.when(chosen, F.col("score"))), F.max(F.when(~chosen, F.col("score")))
+    by = table.groupBy("method").agg(
+        F.count("*").alias("features"), (F.count("*") == F.countDistinct("feature")).alias("once"), F.count_if(chosen).alias("n"), least.alias("least"), most.alias("most")
+    )
+    best = (F.col("n") == 3) & (F.col("least") >= F.col("most"))
+    over = F.coalesce(F.col("least") > 10.0, F.lit(True)) & F.coalesce(F.col("most") <= 10.0, F.lit(True))
+    fits = F.when(F.col("method") == "univariate", best).when(F.col("method") == "variance_threshold", over).otherwise(F.col("n") > 0)
+    return tidy(by.select("method", "features", "once", fits.alias("fits")))
+
+
 @query("reload_facts", f"WITH {_CLASSES} SELECT CAST(outcome AS BIGINT) AS outcome, n, true AS same FROM c")
 def reload_facts(spark, sf):
     """A stored model that is read again gives every row the same score."""

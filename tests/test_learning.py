@@ -193,3 +193,13 @@ def test_study_resumes(spark, frame, tmp_path):
     after = {r["step"]: r["path"] for r in run_study(*args).steps().collect()}
     changed = {k for k in after if before[k] != after[k]}
     assert changed == {"rfe_feature_selection", "model_data_prep", "model_random_forest", "threshold_random_forest"}
+
+
+def test_partitions_are_merged_after_their_sorts(spark):
+    """A task that merges partitions would hold the sorts of all of them: rows with folds are stored before."""
+    rows = [(i, int(i % 3 == 0), [float(i), 1.0]) for i in range(300)]
+    frame = spark.createDataFrame(rows, "sample_id long, outcome int, features array<double>")
+    folded = M.with_folds(frame, "sample_id", 3, 2, 42)
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" in plan and "Sort" not in plan and "Window" not in plan and "Exchange" not in plan
+    assert folded.count() == 300 and {len(r["folds"]) for r in folded.collect()} == {2}

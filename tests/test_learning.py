@@ -203,3 +203,13 @@ def test_partitions_are_merged_after_their_sorts(spark):
     plan = folded._jdf.queryExecution().executedPlan().toString()
     assert "Coalesce" in plan and "Sort" not in plan and "Window" not in plan and "Exchange" not in plan
     assert folded.count() == 300 and {len(r["folds"]) for r in folded.collect()} == {2}
+
+
+def test_folds_of_one_repeat_join_nothing(spark):
+    rows = [(i, int(i % 3 == 0), [float(i), 1.0]) for i in range(300)]
+    frame = spark.createDataFrame([*rows, (None, 1, [0.0, 0.0])], "sample_id long, outcome int, features array<double>")
+    folded = M.with_folds(frame, "sample_id", 3, 1, 42)
+    want = M.repeated_folds(frame.select("sample_id", "outcome"), "sample_id", "outcome", 3, 1, 42).where("sample_id is not null")
+    assert {r["sample_id"]: r["folds"] for r in folded.collect()} == {r["sample_id"]: {1: r["fold"]} for r in want.collect()}
+    with pytest.raises(Exception, match="key comes twice"):
+        M.with_folds(frame.union(frame), "sample_id", 3, 1, 42).count()

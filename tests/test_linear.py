@@ -115,3 +115,21 @@ def test_separable_data_and_few_rows(spark):
     frame = spark.createDataFrame(rows, "sample_id long, outcome int, features array<double>")
     f = L.fit_many(frame, [L.Setting(0, 0.1), L.Setting(1, 0.1)])
     assert all(x.off <= L.TOLERANCE and x.coefficients[0] > 0 for x in f.values())
+
+
+def test_packed_rows_are_the_rows(spark):
+    rows = [(float(i % 2), [float(i), i / 7], [i % 3, i % 5]) for i in range(50)]
+    data = spark.createDataFrame(rows, "y double, features array<double>, folds array<int>").coalesce(1)
+    blocks = data.transform(lambda d: L.packed(d, 2, 2)).toArrow()
+    got = [r for block in blocks.to_batches() for batch in L._unpacked(block, 2) for r in batch.to_pylist()]
+    assert [(r["y"], r["features"], r["folds"]) for r in got] == rows
+
+
+def test_rounds_read_packed_rows(spark, monkeypatch):
+    """Every round sums over the same stored blocks, not over rows made anew."""
+    seen = []
+    summed = L._summed
+    monkeypatch.setattr(L, "_summed", lambda frame, *a: seen.append((frame.columns, frame.storageLevel.useMemory)) or summed(frame, *a))
+    frame = spark.createDataFrame([(i % 2, [float(i % 7), float(i % 5)]) for i in range(100)], "outcome int, features array<double>")
+    L.fit_many(frame, [L.Setting(0.0, 0.1)])
+    assert len(seen) > 3 and all(s == (["n", "y", "features", "folds"], True) for s in seen)

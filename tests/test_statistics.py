@@ -238,3 +238,23 @@ def test_one_shuffle_by_feature(spark, sf):
     wide = arrays_from_wide(K.line_table(spark, sf), K.LINE_FEATURES, ["sample_id", "outcome"])
     plan = A.two_group(K.cells_from_arrays(wide, K.LINE_FEATURES, ["outcome"]))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "EvalPython" not in plan and "l_comment" not in plan
+
+
+def test_holdout_ranks_only_the_rows_at_the_cut(spark):
+    """Exact shares, with repeated and null keys; whoever is far from the cut is neither moved nor sorted."""
+    rows = spark.range(20_000).select(F.when(F.col("id") % 100 > 0, F.col("id") % 5000).alias("k"), (F.col("id") % 7 == 0).cast("int").alias("y"))
+    for fraction in (0.0, 0.1, 0.37, 1.0):
+        out = R.holdout_split(rows, "k", "y", fraction, 42)
+        counts = {(r["y"], r["split"]): r["count"] for r in out.groupBy("y", "split").count().collect()}
+        for y in (0, 1):
+            n = counts.get((y, "val"), 0) + counts.get((y, "train"), 0)
+            assert n == rows.where(F.col("y") == y).count() and counts.get((y, "val"), 0) == math.ceil(fraction * n)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan
+
+
+def test_areas_are_those_of_each_measure(spark):
+    scores = spark.range(3000).select((F.col("id") % 97 / 97).alias("score"), (F.col("id") % 7 % 2).cast("int").alias("actual"), (F.col("id") % 3).alias("g"))
+    both = {r["g"]: r for r in E.areas(scores, ["g"]).collect()}
+    assert {r["g"]: r["auc"] for r in E.auc(scores, ["g"]).collect()} == pytest.approx({g: r["auc"] for g, r in both.items()}, rel=1e-12)
+    assert E.areas(scores).first()["auc"] == pytest.approx(E.auc(scores).first()["auc"], rel=1e-12)

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +14,8 @@ from phenoloom.session import shared_folder
 
 #: A side is broadcast only if it was counted and has at most so many rows; every use has rows of a few dozen bytes.
 BROADCAST_ROWS = 200_000
+#: Edges that one task joins into stars by itself; more edges have more tasks.
+TASK_EDGES = 100_000
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -33,10 +38,50 @@ def unsigned32(column: Column) -> Column:
     return column.bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
 
 
+def _stars(v: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges between each node and the smallest one that it reaches along the given edges."""
+    nodes, at = np.unique(np.concatenate([v, u]), return_inverse=True)
+    a, b = np.split(at, 2)
+    root = np.arange(len(nodes))
+    while True:
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        apart = low < high
+        if not apart.any():
+            break
+        np.minimum.at(root, high[apart], low[apart])
+        while True:
+            further = root[root]
+            if np.array_equal(further, root):
+                break
+            root = further
+    hung = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[hung], nodes[root[hung]]
+
+
+def _hung(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stars of the edges of a task, of so many at a time."""
+    some, n = [], 0
+
+    def told() -> pa.RecordBatch:
+        v, u = _stars(*(np.concatenate([x.column(c).to_numpy() for x in some]) for c in (0, 1)))
+        return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()), pa.array(u, pa.int64())], names=["v", "u"])
+
+    for batch in batches:
+        for part in (batch.slice(i, TASK_EDGES) for i in range(0, batch.num_rows, TASK_EDGES)):
+            if n + part.num_rows > TASK_EDGES:
+                yield told()
+                some, n = [], 0
+            some.append(part)
+            n += part.num_rows
+    if some:
+        yield told()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, component)`` with the smallest node reachable, for every node of an undirected edge.
 
-    Alternating large and small stars: each round hangs the neighbours of a node on its smallest neighbour, first the
+    First every task joins its own edges into stars, so few edges are done in one task and one job, and many have short
+    ways left. Then alternating large and small stars: each round hangs the neighbours of a node on its smallest neighbour, first the
     larger ones, then the smaller ones. Edges never grow in number, no node's neighbours are gathered, and each round
     is written to the shared folder. The minima are written too: a join of two plain inputs is one that Spark splits
     where a node has very many edges. Ends when a round changes nothing.
@@ -44,8 +89,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now = stored(
         edges.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("u")).where("u <> v").distinct()
     )
+    tasks = -(-now.count() // TASK_EDGES)
+    whole = {"v": "bigint", "u": "bigint"} == dict(now.dtypes)
+    if whole and tasks:
+        now = stored(now.coalesce(tasks).mapInArrow(_hung, "v bigint, u bigint"))
     seen = None
-    while True:
+    while tasks > 1 or not whole:
         both = now.select("v", "u").unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
         low = stored(both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m")))
         large = both.join(low, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()

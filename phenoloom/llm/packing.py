@@ -20,6 +20,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,11 +29,10 @@ from phenoloom.llm.words import release
 from phenoloom.operators.ordered import hashed_rank
 
 CAPACITY = 2048
-#: Words whose tokens a task remembers; forgotten all at once, between batches.
-REMEMBERED = 300_000
-#: Lower-case letters that normalisation leaves alone: a run of them is exactly one token word, and so is a final stop.
-_PLAIN = re.compile("[a-zß-öø-ÿœ]+").fullmatch
-_STOPS = (".", ",")
+#: Words whose tokens a task remembers. Beyond, between batches, it forgets those that no second batch has asked for.
+REMEMBERED = 250_000
+#: Lower-case letters that normalisation leaves alone: a run of them is exactly one token word. So are a few signs after it.
+_TAILED = re.compile(r"([a-zß-öø-ÿœ]+)([.,;:!?#$%&*)]{0,4})").fullmatch
 #: Lead bytes of combining marks, which may join a letter differently in upper and lower case, and of special tokens.
 _AS_IS = (b"\xcc", b"\xcd", b"<|")
 
@@ -42,82 +42,97 @@ class WordTokens:
 
     The tokenizer drops white space and never joins what it separates, so the ids of a text are those of its words in
     order. Each distinct word is encoded once while it is remembered: plain ones many at a time, told apart by the
-    tokens that end a word; a plain word with a stop from the word without it; all others on their own.
+    tokens that end a word and cut at spaces alone, which is all that normalisation and patterns do to them; a plain
+    word with signs after it from the word and the signs; all others on their own.
     """
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.tokenizer, self.bare = Tokenizer.from_str(tokenizer_json), Tokenizer.from_str(tokenizer_json)
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.stops = {x: self._encode([x])[0] for x in _STOPS}
-        self.forget()
+        self.place, self.ids = {}, np.zeros(0, np.uint32)
+        self.starts, self.sizes, self.often = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    @staticmethod
+    def _encode(tokenizer, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def forget(self) -> None:
+        """Words asked for by a second batch stay, unless they are too many themselves."""
+        kept = np.flatnonzero(self.often)
+        if len(kept) > REMEMBERED // 2:
+            kept = kept[:0]
+        words = list(self.place)  # in the order of their places
+        ids, sizes = self._gather(kept), self.sizes[kept]
         self.place, self.ids = {}, np.zeros(0, np.uint32)
-        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.starts, self.sizes, self.often = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        self._add([words[i] for i in kept.tolist()], sizes, ids)
 
     def _add(self, words: list[bytes], sizes: np.ndarray, ids: np.ndarray) -> None:
         self.place.update(zip(words, range(len(self.starts), len(self.starts) + len(words)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+        self.often = np.concatenate([self.often, np.zeros(len(words), bool)])
 
     def _gather(self, at: np.ndarray) -> np.ndarray:
         sizes = self.sizes[at]
         upto = np.cumsum(sizes)
         return self.ids[np.repeat(self.starts[at] - (upto - sizes), sizes) + np.arange(int(upto[-1]) if len(upto) else 0)]
 
-    def learn(self, words: set[bytes]) -> None:
-        plain, stopped, other = set(), [], []
+    def learn(self, words: list[bytes]) -> None:
+        """``words`` are distinct and new."""
+        plain, tailed, stems, tails, other = set(), [], [], [], set()
         for word in words:
-            text = word.decode()
-            if _PLAIN(text):
+            found = _TAILED(word.decode())
+            if found is None:
+                other.add(word)
+            elif not (tail := len(found[2])):
                 plain.add(word)
-            elif text[-1] in _STOPS and _PLAIN(text[:-1]):
-                stopped.append(word)
             else:
-                other.append(word)
-        plain.update(x for w in stopped if (x := w[:-1]) not in self.place)
+                tailed.append(word)
+                stems.append(word[:-tail])
+                tails.append(word[-tail:])
+        plain.update(w for w in stems if w not in self.place)
+        other.update(w for w in set(tails) if w not in self.place)
         for i in range(0, len(plain := list(plain)), 5000):
             some = plain[i : i + 5000]
-            got = self._encode([b" ".join(some[j : j + 100]).decode() for j in range(0, len(some), 100)])
+            got = self._encode(self.bare, [b" ".join(some[j : j + 100]).decode() for j in range(0, len(some), 100)])
             ids = np.fromiter(chain.from_iterable(got), np.uint32)
             last = np.flatnonzero(self.ends[ids])
             self._add(some, np.diff(last, prepend=-1), ids)
-        for i in range(0, len(other), 2000):
+        for i in range(0, len(other := list(other)), 2000):
             some = other[i : i + 2000]
-            got = self._encode([w.decode() for w in some])
+            got = self._encode(self.tokenizer, [w.decode() for w in some])
             self._add(some, np.fromiter(map(len, got), np.int64, len(got)), np.fromiter(chain.from_iterable(got), np.uint32))
-        for stop, end in self.stops.items():
-            some = [w for w in stopped if w.endswith(stop.encode())]
-            at = np.array([self.place[w[:-1]] for w in some], np.int64)
-            sizes = self.sizes[at] + len(end)
-            ids = np.empty(int(sizes.sum()), np.uint32)
-            tail = (np.cumsum(sizes) - len(end))[:, None] + np.arange(len(end))
-            mask = np.ones(len(ids), bool)
-            mask[tail] = False
-            ids[mask], ids[tail] = self._gather(at), np.array(end, np.uint32)
-            self._add(some, sizes, ids)
+        # a word's stem, then its tail
+        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(zip(stems, tails, strict=True))), np.int64, 2 * len(tailed))
+        self._add(tailed, self.sizes[at].reshape(-1, 2).sum(1), self._gather(at))
 
     def encode(self, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, each text closed by ``end``, and where each text begins (one more entry than texts)."""
         if len(self.place) > REMEMBERED:
             self.forget()
-        words, counts = [], np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            raw = (text or "").encode()
-            mine = (raw if any(x in raw for x in _AS_IS) else raw.lower()).split()
-            counts[i] = len(mine)
-            words += mine
-        if new := set(words).difference(self.place):
+        raw = [(text or "").encode() for text in texts]
+        # made anew here, as arrays that are slices of others are not lower-cased rightly in Arrow
+        whole = pa.array([x if any(y in x for y in _AS_IS) else x.lower() for x in raw], pa.large_string())
+        words = pc.ascii_split_whitespace(whole)
+        owner, flat = pc.list_parent_indices(words), words.flatten()
+        real = pc.not_equal(flat, "")  # beside white space at either end of a text
+        counts = np.bincount(owner.filter(real).to_numpy(), minlength=len(texts))
+        said = flat.filter(real).dictionary_encode()
+        distinct = said.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        before = len(self.place)
+        if new := [w for w in distinct if w not in self.place]:
             self.learn(new)
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        at = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))
+        self.often[at[at < before]] = True
+        at = at[said.indices.to_numpy()]
         upto = np.concatenate([[0], np.cumsum(self.sizes[at])])
         owner_end = upto[np.cumsum(counts)]  # ids before the end of each text, without end tokens
         bounds = np.concatenate([[0], owner_end + np.arange(1, len(texts) + 1)])

@@ -67,3 +67,17 @@ def test_every_piece_is_used_once(counts):
 def test_a_bin_is_as_full_as_it_can_be():
     first = packing.minimum_bin_slack({50: 1, 9: 3, 4: 2, 3: 1}, 70)[0]
     assert first == ([(50, 1), (9, 1), (4, 2), (3, 1)], 1)
+
+
+def test_words_that_come_again_are_remembered(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 30)
+    words = packing.WordTokens(queries.tokenizer_json())
+    learned = []
+    learn = words.learn
+    monkeypatch.setattr(words, "learn", lambda new: (learned.extend(new), learn(new)))
+    texts = [[f"house tree*** river. River! {'x' * i} a{i} été,,, it's l'été <|endoftext|> .,: {i}th--", None, "", " \t\n\x0b\x0c\r house"] for i in range(1, 30)]
+    for batch in texts:
+        ids, bounds = words.encode(batch, 0)
+        for text, a, b in zip(batch, bounds, bounds[1:], strict=False):
+            assert ids[a:b].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+    assert learned.count(b"house") == learned.count(b"tree***") == 1 and len(words.place) < 60

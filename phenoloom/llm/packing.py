@@ -150,6 +150,7 @@ def pieces(docs: DataFrame, tokenizer_json: str, key: str = "doc_id", text: str
     shipped = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()  # what another operator's tasks left in this worker
         tokens = WordTokens(shipped.value)
         for batch in batches:
             for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):

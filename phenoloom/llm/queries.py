@@ -103,9 +103,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = piece_lattice.pieces(spark, public_tokenizers.path("piece_bpe_32k.model"))
-    encoded = stored(piece_lattice.encode_documents(table(spark, sf_dir, "documents"), model, merges=True))
-    decoded = piece_lattice.decode(encoded, model, ["doc_id"]).select("doc_id", F.sha2(piece_lattice.unmarked(F.col("decoded")), 256).alias("sha"))
-    out = encoded.where("size(ids) > 0").join(decoded, "doc_id").unionByName(encoded.where("size(ids) = 0").withColumn("sha", F.sha2(F.lit(""), 256)))
+    encoded = piece_lattice.encode_documents(table(spark, sf_dir, "documents"), model, merges=True)
+    # the ids go along with their text, so that nothing is joined; documents without an id of their own have no place in a join either
+    decoded = piece_lattice.decode(encoded.where("doc_id is not null"), model, ["doc_id", "ids"])
+    out = decoded.select("doc_id", "ids", F.sha2(piece_lattice.unmarked(F.col("decoded")), 256).alias("sha"))
+    out = out.unionByName(encoded.where("size(ids) = 0").withColumn("sha", F.sha2(F.lit(""), 256)))
     return out.select("doc_id", F.size("ids").alias("n_pieces"), "ids", F.col("sha").alias("decoded_sha256"))
 
 

@@ -19,11 +19,11 @@ only units, all alike; repeated rows count and train each; ties in frequency go
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -41,13 +41,17 @@ PARTS = CLASSES - 256 - WHOLE
 AROUND = (-2, -1, 1, 2)
 #: Passes over the corpus, which share its positions; positions in a step; step size.
 ROUNDS, STEP, RATE = 2, 8192, 0.2
+#: A row that adds up the columns of a matrix.
+ONES = np.ones(max(CLUSTERS, IN_CLUSTER), np.float32)
 #: Positions scored together.
-BLOCK = 16_384
+BLOCK = 32_768
 #: Sums within it need no care before their exponentials are added.
 SAFE = 60.0
-#: Columns of a matrix product. One of 64 x 16 by so many is below the size at which the linear algebra library wakes threads.
-COLUMNS = 256
+#: Columns taken together: so many of 64 numbers stay in the cache through products, exponentials, sums and gradients.
+COLUMNS = 480
 REMEMBERED, SLICES = 250_000, 32
+#: Bytes of text split together: more have fewer different words each.
+LOT = 6 << 20
 SHAPES = {
     "around": (len(AROUND), CLASSES + 1, HIDDEN), "bias": (HIDDEN,), "cluster": (HIDDEN, CLUSTERS), "cluster_bias": (CLUSTERS,),
     "word": (CLUSTERS, IN_CLUSTER, HIDDEN), "word_bias": (CLUSTERS, IN_CLUSTER),
@@ -64,26 +68,46 @@ def _exp(x: np.ndarray, most: float) -> np.ndarray:
 def _softmax(x: np.ndarray, most: float, whole: float = 1.0) -> np.ndarray:
     """Of each column, in place; columns add up to ``whole``."""
     x = _exp(x, most)
-    x *= (whole / x.sum(0)).astype(x.dtype)
+    x *= whole / _sums(x)
     return x
 
 
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Of each column."""
+    return ONES[: len(x)] @ x
+
+
 def _log_share(x: np.ndarray, picked: np.ndarray, most: float) -> np.ndarray:
     """Logarithm of the softmax at one row per column; ``x`` is used up."""
+    return _log_share_at(x, _cells(picked, np.array([x.shape[1]])), most)
+
+
+def _log_share_at(x: np.ndarray, cells: np.ndarray, most: float) -> np.ndarray:
     if most > SAFE:
         x -= x.max(0)
-    own = x[picked, np.arange(x.shape[1])]
+    own = x.take(cells)
     np.exp(x, out=x)
-    return own - np.log(x.sum(0))
+    return own - np.log(_sums(x))
+
+
+def _cells(picked: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Where the picked row of each column is, in matrices of so many columns one after the other whose rows lie end to end."""
+    ends = np.cumsum(sizes)
+    return picked * np.repeat(sizes, sizes) + np.arange(len(picked)) - np.repeat(ends - sizes, sizes)
+
+
+def _blocks(n: int) -> np.ndarray:
+    """Sizes of blocks of columns."""
+    return np.diff(np.append(np.arange(0, n, COLUMNS), n))
 
 
 def _bounds(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """The greatest size of any sum of a row of weights times numbers from -1 to 1, and its bias."""
-    return (np.abs(weights).sum(-1) + np.abs(bias)).max(-1)
+    return (np.abs(weights) @ np.ones(weights.shape[-1], weights.dtype) + np.abs(bias)).max(-1)
 
 
 def _times(a: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """``a @ x`` by blocks of columns: products so small stay in the task's own thread and in the cache."""
+    """``a @ x`` by blocks of columns, each small enough for the cache."""
     if x.shape[1] <= COLUMNS:
         return a @ x
     out = np.empty((len(a), x.shape[1]), np.result_type(a, x))
@@ -94,12 +118,55 @@ def _times(a: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def _against(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """``x @ y.T`` by blocks of columns."""
-    out = np.zeros((len(x), len(y)), np.result_type(x, y))
-    for i in range(0, x.shape[1], COLUMNS):
+    out = x[:, :COLUMNS] @ y[:, :COLUMNS].T
+    for i in range(COLUMNS, x.shape[1], COLUMNS):
         out += x[:, i : i + COLUMNS] @ y[:, i : i + COLUMNS].T
     return out
 
 
+def _with_bias(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Rows of weights, each with its bias behind it."""
+    return np.concatenate([weights, bias[..., None]], -1)
+
+
+def _pull(rows: np.ndarray, back: np.ndarray, x: np.ndarray, cells: np.ndarray, most: float, each: float) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients of ``each`` times the sum of the columns' negative log-shares at ``cells``: by the rows, and by ``x`` without
+    the ones below it, for which ``back`` has the rows' weights as columns."""
+    d = _softmax(_times(rows, x), most, each)
+    d.reshape(-1)[cells] -= each
+    return _against(d, x), _times(back, d)
+
+
+def _by_row(near: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that occur in ``near``, and for each the sum of its columns of ``back``."""
+    seen = np.bincount(near)
+    rows = np.flatnonzero(seen)
+    seen[rows] = np.arange(len(rows))
+    at = seen.take(near)
+    return rows, np.array([np.bincount(at, x, len(rows)) for x in back]).T
+
+
+def _split(texts: list[str | None]) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """Words of all texts end to end, A-Z in lower case, and how many each text has."""
+    words = pc.ascii_split_whitespace(pa.array([(x or "").encode().lower() for x in texts], pa.large_string()))
+    flat, ends = words.flatten(), words.offsets.to_numpy()
+    counts = np.diff(ends).astype(np.int64)
+    # beside white space at either end of a text
+    void = np.flatnonzero(pc.equal(flat, "").to_numpy(zero_copy_only=False))
+    if len(void):
+        counts -= np.bincount(np.searchsorted(ends, void, "right") - 1, minlength=len(counts))
+        flat = flat.filter(pc.not_equal(flat, ""))
+    return flat, counts
+
+
+def _lots(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch: each row goes to the part its bytes end in, of ``LOT`` bytes of a column."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    ends = np.flatnonzero(np.diff(upto // LOT, append=-1)) + 1
+    for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False):
+        yield batch.slice(a, b - a)
+
+
 class Model:
     def __init__(self, vocabulary: list[bytes], spelling: np.ndarray, weights: dict[str, np.ndarray]):
         """``vocabulary``: units of two bytes and more; every byte is one besides. ``spelling``: logarithm of the frequency
@@ -114,7 +181,7 @@ class Model:
         self._forget()
 
     def _forget(self) -> None:
-        self.place, self.units, self.first, self.size = {}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.place, self.units, self.first, self.size = {}, np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def cut(self, word: bytes) -> list[int]:
         """Units of a word with a space in front."""
@@ -157,23 +224,25 @@ class Model:
         self.place.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
         self.first = np.concatenate([self.first, len(self.units) + np.cumsum(sizes) - sizes])
         self.size = np.concatenate([self.size, sizes])
-        self.units = np.concatenate([self.units, units])
+        self.units = np.concatenate([self.units, units.astype(np.uint16)])
 
     def units_of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Units of all words end to end, and the numbers of words and of units of each text."""
         if len(self.place) > REMEMBERED:
             self._forget()
-        words, counts = [], np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            mine = (text or "").encode().lower().split()
-            counts[i] = len(mine)
-            words += mine
-        if new := list(set(words).difference(self.place)):
-            self._learn(new)
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        sizes = self.size[at]
+        words, counts = _split(texts)
+        words = words.dictionary_encode()
+        distinct = words.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+        places = [*map(self.place.get, distinct.tolist())]
+        if None in places:
+            places = np.array([-1 if x is None else x for x in places])
+            new = np.flatnonzero(places < 0)
+            places[new] = len(self.size) + np.arange(len(new))
+            self._learn(distinct[new].tolist())
+        at = np.asarray(places, np.int64).take(words.indices.to_numpy())
+        sizes = self.size.take(at)
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        units = self.units[np.repeat(self.first[at] - ends[:-1], sizes) + np.arange(ends[-1])]
+        units = self.units.take(np.repeat(self.first.take(at) - ends[:-1], sizes) + np.arange(ends[-1]))
         upto = ends[np.concatenate([[0], np.cumsum(counts)])]
         return units, counts, np.diff(upto)
 
@@ -188,19 +257,27 @@ class Model:
         wide = max(map(abs, AROUND))
         shift = np.repeat(np.arange(len(counts)), counts) * wide + wide
         at = np.arange(len(words)) + shift
-        padded = np.full(len(words) + wide * (len(counts) + 1), EDGE)
+        padded = np.full(len(words) + wide * (len(counts) + 1), EDGE, np.uint16)
         padded[at] = words
         if some is not None:
             at = at[some]
-        return np.stack([padded[at + o] for o in AROUND])
+        return np.stack([padded.take(at + o) for o in AROUND])
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
+        """What the network makes of each context, column by column, and a row of ones below it for the biases."""
         w = self.weights
         total = w["around"][0].take(context[0], axis=0)
         for k in range(1, len(AROUND)):
             total += w["around"][k].take(context[k], axis=0)
-        total += w["bias"]
-        return np.tanh(total, out=total)
+        out = np.ones((HIDDEN + 1, len(total)), total.dtype)
+        np.add(total.T, w["bias"][:, None], out=out[:-1])
+        np.tanh(out[:-1], out=out[:-1])
+        return out
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray]:
+        """Weights and biases of the clusters, and of the units of each cluster."""
+        w = self.weights
+        return _with_bias(w["cluster"].T, w["cluster_bias"]), _with_bias(w["word"], w["word_bias"])
 
     def bounds(self) -> tuple[float, list[float]]:
         """Of the logits of the clusters, and of the units of each cluster."""
@@ -208,55 +285,61 @@ class Model:
         return float(_bounds(w["cluster"].T, w["cluster_bias"])), _bounds(w["word"], w["word_bias"]).tolist()
 
     def log_probabilities(self, words: np.ndarray, context: np.ndarray) -> np.ndarray:
-        w, out = self.weights, np.empty(len(words), np.float64)
+        out = np.empty(len(words), np.float64)
+        clusters, units = self.rows()
         first, second = self.bounds()
         for i in range(0, len(words), BLOCK):
             order = np.argsort(words[i : i + BLOCK].astype(np.uint16), kind="stable")
             these = words[i : i + BLOCK][order]
             cluster, inner = these // IN_CLUSTER, these % IN_CLUSTER
-            across = np.ascontiguousarray(self.hidden(context[:, i : i + BLOCK].take(order, axis=1)).T)
-            logits = _times(w["cluster"].T, across)
-            logits += w["cluster_bias"][:, None]
-            part = _log_share(logits, cluster, first).astype(np.float64)
-            ends = np.searchsorted(cluster, np.arange(CLUSTERS + 1)).tolist()
+            x = self.hidden(context[:, i : i + BLOCK].take(order, axis=1).astype(np.intp))
+            part = np.empty(len(these), np.float64)
+            cells = _cells(cluster, _blocks(len(these)))
+            for a in range(0, len(these), COLUMNS):
+                some = slice(a, a + COLUMNS)
+                part[some] = _log_share_at(clusters @ x[:, some], cells[some], first)
+            ends = np.searchsorted(cluster, np.arange(CLUSTERS + 1, dtype=cluster.dtype))
+            cells, ends = _cells(inner, np.diff(ends)), ends.tolist()
             for c, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
                 if a < b:
-                    logits = _times(w["word"][c], across[:, a:b])
-                    logits += w["word_bias"][c][:, None]
-                    part[a:b] += _log_share(logits, inner[a:b], second[c])
+                    part[a:b] += _log_share_at(_times(units[c], x[:, a:b]), cells[a:b], second[c])
             out[i + order] = part
         return out
 
-    def gradients(self, words: np.ndarray, context: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean negative log-probability."""
-        w, n = self.weights, len(words)
-        out = {k: np.zeros_like(v) for k, v in w.items()}
+    def slopes(self, words: np.ndarray, context: np.ndarray) -> tuple[dict[str, np.ndarray], list[tuple[np.ndarray, np.ndarray]]]:
+        """Gradients of the mean negative log-probability; those of the tables around place by place, for the rows that occur."""
+        n = len(words)
         order = np.argsort(words.astype(np.uint16), kind="stable")
-        words, context, at = words[order], context.take(order, axis=1), np.arange(n)
+        words = words[order]
+        context = context.take(order, axis=1).astype(np.intp)
         cluster, inner = words // IN_CLUSTER, words % IN_CLUSTER
-        across = np.ascontiguousarray(self.hidden(context).T)
+        x = self.hidden(context)
+        clusters, units = self.rows()
         first, second = self.bounds()
-        d = _times(w["cluster"].T, across)
-        d += w["cluster_bias"][:, None]
-        d = _softmax(d, first, 1 / n)
-        d[cluster, at] -= 1 / n
-        out["cluster"], out["cluster_bias"] = _against(across, d), d.sum(1)
-        back = _times(w["cluster"], d)
-        ends = np.searchsorted(cluster, np.arange(CLUSTERS + 1)).tolist()
+        top, under, back = np.zeros_like(clusters), np.zeros_like(units), np.empty((HIDDEN, n), x.dtype)
+        down, cells = self.weights["cluster"], _cells(cluster, _blocks(n))
+        for a in range(0, n, COLUMNS):
+            some = slice(a, a + COLUMNS)
+            more, back[:, some] = _pull(clusters, down, x[:, some], cells[some], first, 1 / n)
+            top += more
+        down = np.ascontiguousarray(self.weights["word"].transpose(0, 2, 1))
+        ends = np.searchsorted(cluster, np.arange(CLUSTERS + 1, dtype=cluster.dtype))
+        cells, ends = _cells(inner, np.diff(ends)), ends.tolist()
         for c, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
             if a < b:
-                e = _times(w["word"][c], across[:, a:b])
-                e += w["word_bias"][c][:, None]
-                e = _softmax(e, second[c], 1 / n)
-                e[inner[a:b], at[: b - a]] -= 1 / n
-                out["word"][c], out["word_bias"][c] = _against(e, across[:, a:b]), e.sum(1)
-                back[:, a:b] += _times(w["word"][c].T, e)
-        back *= 1 - across * across
-        out["bias"] = back.sum(1)
-        back, place = np.ascontiguousarray(back.T).ravel(), np.arange(HIDDEN)
-        for k, near in enumerate(context):
-            cells = (near[:, None] * HIDDEN + place).ravel()
-            out["around"][k] = np.bincount(cells, back, out["around"][k].size).reshape(-1, HIDDEN)
+                under[c], more = _pull(units[c], down[c], x[:, a:b], cells[a:b], second[c], 1 / n)
+                back[:, a:b] += more
+        back *= 1 - x[:-1] * x[:-1]
+        whole = {"bias": back.sum(1), "cluster": top[:, :-1].T, "cluster_bias": top[:, -1], "word": under[..., :-1].copy(), "word_bias": under[..., -1]}
+        back = back.astype(np.float64)
+        return whole, [_by_row(near, back) for near in context]
+
+    def gradients(self, words: np.ndarray, context: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean negative log-probability."""
+        out, around = self.slopes(words, context)
+        out["around"] = np.zeros_like(self.weights["around"])
+        for k, (rows, g) in enumerate(around):
+            out["around"][k][rows] = g
         return out
 
 
@@ -269,9 +352,20 @@ class Trainer:
 
     def step(self, words: np.ndarray, context: np.ndarray) -> None:
         self.seen += len(words)
-        for k, g in self.model.gradients(words, context).items():
-            self.squares[k] += g * g
-            self.model.weights[k] -= RATE * g / np.sqrt(self.squares[k])
+        weights, squares = self.model.weights, self.squares
+        whole, around = self.model.slopes(words, context)
+        for k, g in whole.items():
+            squares[k] += g * g
+            weights[k] -= RATE * g / np.sqrt(squares[k])
+        # rows that do not occur have no gradients and stay as they are
+        for w, square, (rows, g) in zip(weights["around"], squares["around"], around, strict=True):
+            g = g.astype(w.dtype, "C")
+            sums = square.take(rows, axis=0)
+            sums += g * g
+            square[rows] = sums
+            g *= RATE
+            g /= np.sqrt(sums, out=sums)
+            w[rows] -= g
 
 
 def masked(seeds: np.ndarray, counts: np.ndarray, round_number: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -297,19 +391,26 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``word, n`` over all documents; A-Z in lower case. Tasks add up what they see before it is shuffled."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def told(seen: Counter) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+        def together(some: list[pa.Table]) -> pa.Table:
+            return pa.concat_tables(some).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+        def told(seen: pa.Table) -> Iterator[pa.RecordBatch]:
+            return iter(seen.cast(pa.schema([("word", pa.string()), ("n", pa.int64())])).to_batches())
 
-        seen: Counter = Counter()
+        seen, rows = [], 0
         for batch in batches:
-            for part in (batch.slice(i, 200) for i in range(0, batch.num_rows, 200)):
-                for raw in part.column(0).to_pylist():
-                    if raw:
-                        seen.update(raw.encode().lower().split())
-                if len(seen) > REMEMBERED:
-                    yield told(seen)
-                    seen.clear()
-        yield told(seen)
+            for part in _lots(batch, 0):
+                found = _split(part.column(0).to_pylist())[0].value_counts()
+                seen.append(pa.table({"word": found.field("values"), "n": found.field("counts")}))
+                rows += len(found)
+                if rows > 4 * REMEMBERED:
+                    seen = [together(seen)]
+                    rows = len(seen[0])
+                    if rows > REMEMBERED:
+                        yield from told(seen[0])
+                        seen, rows = [], 0
+        if seen:
+            yield from told(together(seen))
 
     return docs.select(text).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -389,7 +490,7 @@ def read_words(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = Model(*shipped.value, {})
         for batch in batches:
-            for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
+            for part in _lots(batch, 1):
                 texts = part.column(1).to_pylist()
                 units, words, counts = mine.units_of(texts)
                 ends = 2 * np.cumsum(counts)
@@ -408,7 +509,7 @@ def _parts(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[tuple[pa.Re
     for batch in batches:
         for part in (batch.slice(i, rows) for i in range(0, batch.num_rows, rows)):
             raw = part.column("words").to_pylist()
-            yield part, np.frombuffer(b"".join(raw), "<u2").astype(np.int64), np.fromiter(map(len, raw), np.int64, len(raw)) // 2
+            yield part, np.frombuffer(b"".join(raw), "<u2"), np.fromiter(map(len, raw), np.int64, len(raw)) // 2
 
 
 def improve(read: DataFrame, model: Model, round_number: int, rounds: int = ROUNDS) -> Model:

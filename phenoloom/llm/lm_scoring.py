@@ -49,9 +49,9 @@ BLOCK = 32_768
 SAFE = 60.0
 #: Columns taken together: so many of 64 numbers stay in the cache through products, exponentials, sums and gradients.
 COLUMNS = 480
-REMEMBERED, SLICES = 250_000, 32
+REMEMBERED, SLICES = 500_000, 32
 #: Bytes of text split together: more have fewer different words each.
-LOT = 6 << 20
+LOT = 4 << 20
 SHAPES = {
     "around": (len(AROUND), CLASSES + 1, HIDDEN), "bias": (HIDDEN,), "cluster": (HIDDEN, CLUSTERS), "cluster_bias": (CLUSTERS,),
     "word": (CLUSTERS, IN_CLUSTER, HIDDEN), "word_bias": (CLUSTERS, IN_CLUSTER),
@@ -118,12 +118,19 @@ def _times(a: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def _against(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """``x @ y.T`` by blocks of columns."""
+    if x.shape[1] <= COLUMNS:
+        return x @ y.T
     out = x[:, :COLUMNS] @ y[:, :COLUMNS].T
     for i in range(COLUMNS, x.shape[1], COLUMNS):
         out += x[:, i : i + COLUMNS] @ y[:, i : i + COLUMNS].T
     return out
 
 
+def _apart(rows: int, columns: int, dtype: np.dtype) -> np.ndarray:
+    """An empty matrix whose rows do not begin at the same place of a page each, where they would fight for the cache."""
+    return np.empty((rows, columns + 16 + -columns % 64), dtype)[:, :columns]
+
+
 def _with_bias(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Rows of weights, each with its bias behind it."""
     return np.concatenate([weights, bias[..., None]], -1)
@@ -146,9 +153,9 @@ def _by_row(near: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return rows, np.array([np.bincount(at, x, len(rows)) for x in back]).T
 
 
-def _split(texts: list[str | None]) -> tuple[pa.LargeStringArray, np.ndarray]:
+def _split(texts: list[str | None]) -> tuple[pa.StringArray, np.ndarray]:
     """Words of all texts end to end, A-Z in lower case, and how many each text has."""
-    words = pc.ascii_split_whitespace(pa.array([(x or "").encode().lower() for x in texts], pa.large_string()))
+    words = pc.ascii_split_whitespace(pa.array([(x or "").encode().lower() for x in texts], pa.string()))
     flat, ends = words.flatten(), words.offsets.to_numpy()
     counts = np.diff(ends).astype(np.int64)
     # beside white space at either end of a text
@@ -232,7 +239,7 @@ class Model:
             self._forget()
         words, counts = _split(texts)
         words = words.dictionary_encode()
-        distinct = words.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+        distinct = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
         places = [*map(self.place.get, distinct.tolist())]
         if None in places:
             places = np.array([-1 if x is None else x for x in places])
@@ -269,7 +276,8 @@ class Model:
         total = w["around"][0].take(context[0], axis=0)
         for k in range(1, len(AROUND)):
             total += w["around"][k].take(context[k], axis=0)
-        out = np.ones((HIDDEN + 1, len(total)), total.dtype)
+        out = _apart(HIDDEN + 1, len(total), total.dtype)
+        out[-1] = 1
         np.add(total.T, w["bias"][:, None], out=out[:-1])
         np.tanh(out[:-1], out=out[:-1])
         return out
@@ -316,7 +324,7 @@ class Model:
         x = self.hidden(context)
         clusters, units = self.rows()
         first, second = self.bounds()
-        top, under, back = np.zeros_like(clusters), np.zeros_like(units), np.empty((HIDDEN, n), x.dtype)
+        top, under, back = np.zeros_like(clusters), np.zeros_like(units), _apart(HIDDEN, n, x.dtype)
         down, cells = self.weights["cluster"], _cells(cluster, _blocks(n))
         for a in range(0, n, COLUMNS):
             some = slice(a, a + COLUMNS)
@@ -365,7 +373,7 @@ class Trainer:
             square[rows] = sums
             g *= RATE
             g /= np.sqrt(sums, out=sums)
-            w[rows] -= g
+            w[rows] = np.subtract(w.take(rows, axis=0), g, out=g)
 
 
 def masked(seeds: np.ndarray, counts: np.ndarray, round_number: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -403,10 +411,10 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                 found = _split(part.column(0).to_pylist())[0].value_counts()
                 seen.append(pa.table({"word": found.field("values"), "n": found.field("counts")}))
                 rows += len(found)
-                if rows > 4 * REMEMBERED:
+                if rows > 2 * REMEMBERED:
                     seen = [together(seen)]
                     rows = len(seen[0])
-                    if rows > REMEMBERED:
+                    if rows > REMEMBERED // 2:
                         yield from told(seen[0])
                         seen, rows = [], 0
         if seen:

@@ -41,7 +41,7 @@ def against_sql(spark, sf, name):
 
 
 @pytest.mark.parametrize("kind", ["unlabelled", "labelled"])
-@pytest.mark.parametrize("name", ["auc_untied", "avg_precision_untied", "pr_points", "roc_points"])
+@pytest.mark.parametrize("name", ["auc_untied", "avg_precision_untied", "pr_points", "roc_points", "unpivot_wide"])
 def test_equal_to_sql(spark, folders, name, kind):
     assert against_sql(spark, folders[kind], name) is None
 

@@ -5,6 +5,7 @@ import math
 import pytest
 from compare import difference
 
+from phenoloom.operators import evaluation as E
 from phenoloom.plans import cohorts as K
 from phenoloom.plans.catalogue import ORACLES, QUERIES
 
@@ -41,7 +42,7 @@ def against_sql(spark, sf, name):
 
 
 @pytest.mark.parametrize("kind", ["unlabelled", "labelled"])
-@pytest.mark.parametrize("name", ["auc_untied", "avg_precision_untied", "pr_points", "roc_points", "unpivot_wide"])
+@pytest.mark.parametrize("name", ["auc_untied", "avg_precision_untied", "pr_points", "roc_points", "unpivot_wide", "youden"])
 def test_equal_to_sql(spark, folders, name, kind):
     assert against_sql(spark, folders[kind], name) is None
 
@@ -52,3 +53,9 @@ def test_shares_as_in_sql(spark, tmp_path):
     share = {r.sample_id: r.alpha_ratio for r in K.doc_table(spark, str(tmp_path)).collect()}
     assert math.isnan(share[0]) and math.isnan(share[2])
     assert (share[1], share[3], share[4], share[5]) == (math.inf, None, None, 0.5)
+
+
+def test_threshold_that_is_no_number_loses_ties(spark):
+    rows = [(float("nan"), 1), (0.8, 1), (0.8, 0), (0.3, 0)]
+    best = E.youden(spark.createDataFrame(rows, "score double, actual int")).first()
+    assert (best.threshold, best.youden_j) == (pytest.approx(0.55), pytest.approx(0.5))

@@ -7,6 +7,7 @@ from compare import difference
 
 from phenoloom.operators import evaluation as E
 from phenoloom.plans import cohorts as K
+from phenoloom.plans import study as S
 from phenoloom.plans.catalogue import ORACLES, QUERIES
 
 CHARACTERS = ["a", "B", " ", "1", ".", "\n", ","]
@@ -32,6 +33,16 @@ def folders(spark, tmp_path_factory):
     return {kind: tables(spark, tmp_path_factory.mktemp(kind), empty) for kind, empty in kinds.items()}
 
 
+@pytest.fixture
+def shuffled(spark):
+    """Joins as at size: the labels are not broadcast, and every document is measured before it meets them."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, was)
+
+
 def against_sql(spark, sf, name):
     import duckdb
 
@@ -59,3 +70,12 @@ def test_threshold_that_is_no_number_loses_ties(spark):
     rows = [(float("nan"), 1), (0.8, 1), (0.8, 0), (0.3, 0)]
     best = E.youden(spark.createDataFrame(rows, "score double, actual int")).first()
     assert (best.threshold, best.youden_j) == (pytest.approx(0.55), pytest.approx(0.5))
+
+
+@pytest.mark.parametrize("kind", ["unlabelled", "labelled"])
+def test_rows_that_studies_share(spark, folders, shuffled, tmp_path, kind):
+    c = K.docs(spark, folders[kind]).stored()
+    pheno = c.pheno.where("sample_id > 20")
+    rows = S.shared_rows(spark, str(tmp_path), "quality", c.matrix, pheno).collect()
+    assert {r.sample_id for r in rows} == {i for i in range(21, 120) if i % 4}
+    assert {r.sample_id for r in rows if math.isnan(r.features[-1])} == ({22, 33, 81} if kind == "labelled" else set())

@@ -82,6 +82,6 @@ def test_rows_that_studies_share(spark, folders, shuffled, tmp_path, kind):
 
 
 @pytest.mark.parametrize("kind", ["unlabelled", "labelled"])
-@pytest.mark.parametrize("name", ["moderated_t"])
+@pytest.mark.parametrize("name", ["moderated_t", "select_k_best"])
 def test_equal_to_sql_with_shuffled_joins(spark, folders, shuffled, name, kind):
     assert against_sql(spark, folders[kind], name) is None
